@@ -46,7 +46,7 @@ VIEWS: dict[str, str] = {
                || 'f' || CAST(doc_id AS STRING) || '.' || lang AS file_path
         FROM {documents}""",
     "local_repositories": """
-        SELECT source AS repository_id, '/clones/' || source AS local_path, count(*) % 2 = 0 AS scanned
+        SELECT source AS repository_id, '/clones/' || source AS local_path, min(doc_id) % 2 = 0 AS scanned
         FROM {documents} GROUP BY source""",
     "patterns": """
         SELECT 'p' || CAST(p_partkey AS STRING) AS id, p_name AS name, replace(p_name, ' ', '.*') AS regex,

@@ -41,7 +41,11 @@ def context_snippet(content: Column, line_number: Column, around: int = CONTEXT_
 def source_excerpt(content: Column, line_number: Column, around: int = EXCERPT_LINES) -> Column:
     """Numbered excerpt around a line with a ``>>>`` marker on it."""
     pieces = raw_lines(content)
-    count = line_count(content, pieces)
+    return excerpt_text(pieces, line_count(content, pieces), line_number, around)
+
+
+def excerpt_text(pieces: Column, count: Column, line_number: Column, around: int = EXCERPT_LINES) -> Column:
+    """``source_excerpt`` for a text that is already split."""
     first = F.greatest(F.lit(1), line_number - around)
     last = F.least(count, line_number + around)
     numbered = F.transform(

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from codesieve.constants import CONTEXT_LINES, EXCERPT_LINES
-from codesieve.functions.text import line_count, lines, raw_lines, source_excerpt, window_text
+from codesieve.functions.text import excerpt_text, line_count, lines, raw_lines, window_text
 from codesieve.operators.partitioning import join_hot
 
 FILE = ["repository_id", "file_path"]
@@ -58,21 +58,25 @@ def attach_excerpt(flaws: DataFrame, files: DataFrame, around: int = EXCERPT_LIN
 
     The flaw's path is tried as it is and without its first component, in this order.
     """
-    path = F.ltrim(F.translate("file", "\\", "/"), F.lit("/"))
+    keyed = flaws.withColumns({
+        "_repo": F.coalesce("repo", F.lit("")), "_file": F.coalesce("file", F.lit("")),
+        "_line": F.coalesce("line", F.lit(0))})
+    path = F.ltrim(F.translate("_file", "\\", "/"), F.lit("/"))
     shorter = F.when(F.contains(path, F.lit("/")), F.regexp_replace(path, "^[^/]+/+", ""))
-    places = flaws.select("repo", "file", "line", F.array(path, shorter).alias("_paths")).distinct()
-    tried = places.select("repo", "file", "line", F.posexplode("_paths").alias("_try", "file_path")).where(
+    places = keyed.where(F.length("_file") > 0).select("_repo", "_file", "_line").distinct()
+    tried = places.select("*", F.posexplode(F.array(path, shorter)).alias("_try", "file_path")).where(
         F.col("file_path").isNotNull())
-    texts = files.select(F.col("repository_id").alias("repo"), "file_path", "content")
-    cut = tried.join(texts, ["repo", "file_path"]).select(
-        "repo", "file", "line", "_try",
-        source_excerpt(F.col("content"), F.coalesce("line", F.lit(0)), around).alias("_text"))
-    best = cut.groupBy("repo", "file", "line").agg(F.min_by("_text", "_try").alias("_text")).select(
-        F.col("repo").alias("_repo"), F.col("file").alias("_file"), F.col("line").alias("_line"), "_text")
-    joined = flaws.join(
-        best,
-        F.col("repo").eqNullSafe(F.col("_repo")) & F.col("file").eqNullSafe(F.col("_file"))
-        & F.col("line").eqNullSafe(F.col("_line")), "left")
-    text = F.when(F.coalesce(F.length("file"), F.lit(0)) == 0, F.lit("[no source path]")).otherwise(
-        F.coalesce("_text", F.concat(F.lit("[source file not found: "), "file", F.lit("]"))))
+    # A text meets all places in it at once (bounded by what refers to one file) and is split once.
+    per_file = tried.groupBy(F.col("_repo").alias("repository_id"), "file_path").agg(
+        F.collect_set(F.struct("_file", "_line", "_try")).alias("_places"))
+    split = files.select(*FILE, "content").join(per_file, FILE).select(
+        F.col("repository_id").alias("_repo"), "_places", "content", raw_lines(F.col("content")).alias("_lines"))
+    counted = split.withColumn("_count", F.coalesce(line_count(F.col("content"), F.col("_lines")), F.lit(0)))
+    cut = counted.select("_repo", "_lines", "_count", F.explode_outer("_places").alias("_p")).select(
+        "_repo", "_p.*", excerpt_text(F.col("_lines"), F.col("_count"), F.col("_p._line"), around).alias("_text"))
+    best = cut.groupBy("_repo", "_file", "_line").agg(F.min_by("_text", "_try").alias("_text"))
+    # Many flaws may share one place (an empty path, say): spread them.
+    joined = join_hot(keyed, best, ["_repo", "_file", "_line"], "left")
+    text = F.when(F.col("_file") == "", F.lit("[no source path]")).otherwise(
+        F.coalesce("_text", F.concat(F.lit("[source file not found: "), "_file", F.lit("]"))))
     return joined.withColumn("source_excerpt", text).select(*flaws.columns, "source_excerpt")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SALTS = 32
+SALTS = 16
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -32,8 +32,12 @@ def join_hot(
     """Join ``facts`` with a table of at most one row per ``key``, where one key may hold much of the facts.
 
     Facts of a key are dealt to ``salts`` groups by a hash of ``spread_by`` (default: the whole row) and every
-    dimension row is repeated once per group; the result is the plain join.  No broadcast is forced: Spark uses
-    one by itself if the dimension's size is below its threshold.  ``how``: inner, left, left_semi, left_anti.
+    dimension row is repeated once per group; the result is the plain join.  The extra key column also gives
+    both sides a shuffle of their own, which lets adaptive execution split a group that is still too large.
+
+    No broadcast is forced: Spark uses one by itself only if its size estimate of the dimension is below
+    ``spark.sql.autoBroadcastJoinThreshold``, so at most ``salts`` times that much is ever sent.
+    ``how``: inner, left, left_semi, left_anti.
     """
     keys = [key] if isinstance(key, str) else list(key)
     by = spread_by if spread_by is not None else F.xxhash64(*[F.col(f"`{c}`") for c in facts.columns])

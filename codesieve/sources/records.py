@@ -69,7 +69,7 @@ def read_sast_results(spark: SparkSession, root: str, folder: str = "*", names:
 def parse_sast_results(documents: DataFrame) -> DataFrame:
     """The same for result documents held in a column ``value`` (with project and scan_file)."""
     parsed = documents.select("project", "scan_file", F.from_json("value", schemas.SAST_RESULT).alias("d"))
-    return parsed.where(F.col("d").isNotNull()).select(
+    return parsed.select(
         "project", "scan_file", F.coalesce("d.findings", F.array().cast(_findings_type())).alias("findings"))
 
 
