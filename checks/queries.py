@@ -65,7 +65,8 @@ def _sast_results(spark, sf):
 
     A document lists the flaws of one order, so its size does not grow with the table.
     """
-    rows = table(spark, sf, "flaw_rows")
+    # Grouping keeps every flaw, so combining before the shuffle gains nothing: shuffle first.
+    rows = table(spark, sf, "flaw_rows").repartition("repo", "scan_file")
     flaw = F.struct(
         "n", "issue_id", "cwe_id", "issue_type", "severity",
         F.struct(F.struct("file", "line").alias("source_file")).alias("files"))

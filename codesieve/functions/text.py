@@ -28,8 +28,12 @@ def window_text(pieces: Column, count: Column, line_number: Column, around: int
     """Lines ``line_number`` ± ``around`` clipped to the file, joined by newline, without carriage returns."""
     first = F.greatest(F.lit(1), line_number - around)
     last = F.least(count, line_number + around)
-    text = F.array_join(F.slice(pieces, first, F.greatest(F.lit(0), last - first + 1)), "\n")
-    return F.regexp_replace(text, "\r(?=\n|$)", "") if around else text
+    return _without_returns(F.array_join(F.slice(pieces, first, F.greatest(F.lit(0), last - first + 1)), "\n"))
+
+
+def _without_returns(text: Column) -> Column:
+    """Carriage returns before a line end are dropped."""
+    return F.when(F.contains(text, F.lit("\r")), F.regexp_replace(text, "\r(?=\n|$)", "")).otherwise(text)
 
 
 def context_snippet(content: Column, line_number: Column, around: int = CONTEXT_LINES) -> Column:
@@ -48,11 +52,11 @@ def excerpt_text(pieces: Column, count: Column, line_number: Column, around: int
     """``source_excerpt`` for a text that is already split."""
     first = F.greatest(F.lit(1), line_number - around)
     last = F.least(count, line_number + around)
-    numbered = F.transform(
-        F.slice(pieces, first, F.greatest(F.lit(0), last - first + 1)),
-        lambda text, i: F.format_string(
-            "%5d %s %s", i + first, F.when(i + first == line_number, ">>>").otherwise("   "),
-            F.regexp_replace(text, "\r$", ""),
-        ),
-    )
-    return F.array_join(numbered, "\n")
+
+    def numbered(text: Column, i: Column) -> Column:
+        number = (i + first).cast("string")
+        marker = F.when(i + first == line_number, F.lit(" >>> ")).otherwise(F.lit("     "))
+        return F.concat(F.lpad(number, F.greatest(F.lit(5), F.length(number)), F.lit(" ")), marker, text)
+
+    shown = F.transform(F.slice(pieces, first, F.greatest(F.lit(0), last - first + 1)), numbered)
+    return _without_returns(F.array_join(shown, "\n"))

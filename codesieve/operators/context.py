@@ -75,8 +75,11 @@ def attach_excerpt(flaws: DataFrame, files: DataFrame, around: int = EXCERPT_LIN
     cut = counted.select("_repo", "_lines", "_count", F.explode_outer("_places").alias("_p")).select(
         "_repo", "_p.*", excerpt_text(F.col("_lines"), F.col("_count"), F.col("_p._line"), around).alias("_text"))
     best = cut.groupBy("_repo", "_file", "_line").agg(F.min_by("_text", "_try").alias("_text"))
-    # Many flaws may share one place (an empty path, say): spread them.
-    joined = join_hot(keyed, best, ["_repo", "_file", "_line"], "left")
+    # Flaws without a path match nothing: a hash in place of their line keeps them from meeting in one task.
+    # Excerpts are too long to repeat often; two groups are enough to let adaptive execution split a hot place.
+    scattered = keyed.withColumn(
+        "_line", F.when(F.col("_file") == "", F.pmod(F.xxhash64(*flaws.columns), F.lit(1 << 30)).cast("int")).otherwise(F.col("_line")))
+    joined = join_hot(scattered, best, ["_repo", "_file", "_line"], "left", salts=2)
     text = F.when(F.col("_file") == "", F.lit("[no source path]")).otherwise(
         F.coalesce("_text", F.concat(F.lit("[source file not found: "), "_file", F.lit("]"))))
     return joined.withColumn("source_excerpt", text).select(*flaws.columns, "source_excerpt")

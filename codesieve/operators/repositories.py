@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -49,7 +51,7 @@ def detect_frameworks(repositories: DataFrame, signals: DataFrame) -> DataFrame:
     value = F.lower("value")
     position = None
     for i, label in enumerate(labels):
-        test = value.rlike("|".join(word.replace(".", r"\.") for word in C.FRAMEWORK_INDICATORS[label]))
+        test = reduce(or_, [F.contains(value, F.lit(word)) for word in C.FRAMEWORK_INDICATORS[label]])
         position = F.when(test, i) if position is None else position.when(test, i)
     found = (
         signals.select("repository_id", position.alias("_p")).where(F.col("_p").isNotNull())
