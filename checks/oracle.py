@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from checks.views import HYGIENE, rules_values, view_ctes
+from checks.views import HYGIENE, PACK, rules_values, view_ctes
 
 NS = "6ba7b8109dad11d180b400c04fd430c8"
 IGNORED = "(^|/)(node_modules|vendor|dist|build|target|migrations)(/|$)"
@@ -239,6 +239,9 @@ ORACLE: dict[str, str] = {
         CASE WHEN regexp_matches(lower(url), 'upload|import|backup') THEN 'file_exchange' END,
         CASE WHEN regexp_matches(lower(url), 'admin|internal|debug|test|dev') THEN 'sensitive_area' END) AS tags FROM pages""",
     "regex_scan": _with((F,), RAW, f"SELECT {PLAIN} FROM raw"),
+    "rule_pack_scan": _with(("code_files",), LINES.replace("source_files", "code_files") + f""",
+        pack AS {rules_values(PACK)}""", f"""SELECT {FINDING_ID} AS id, l.repository_id, l.file_path, l.line_number, p.id AS pattern_id,
+        p.vulnerability_type, 0 AS score FROM lines l JOIN pack p ON l.language = p.language AND regexp_matches(l.line, p.regex)"""),
     "regex_scan_multiline": _with((F,), f"""
         eligible AS (SELECT * FROM source_files WHERE NOT regexp_matches(file_path, '{IGNORED}')),
         parts AS (SELECT repository_id, file_path, string_split(content, chr(10)) AS a, string_split(regexp_replace(content,

@@ -11,7 +11,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.views import AS_OF, HYGIENE, MULTILINE, table
+from checks.views import AS_OF, HYGIENE, MULTILINE, PACK, table
 from codesieve import constants as C
 from codesieve.functions import identity, paths, scoring, values
 from codesieve.functions.text import lines
@@ -21,6 +21,7 @@ from codesieve.operators import (
 from codesieve.plans import sast as sast_plan
 from codesieve.plans import triage as triage_plan
 from codesieve.sources import packs, records
+from codesieve.sources.rules import Rule
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -338,6 +339,11 @@ def regex_scan(spark, sf):
     return _raw(spark, sf)
 
 
+@query
+def rule_pack_scan(spark, sf):
+    return scan.scan_lines(table(spark, sf, "code_files"), PACK).drop("snippet")
+
+
 @query
 def regex_scan_multiline(spark, sf):
     return multiline.scan_texts(scan.eligible_files(_files(spark, sf)), MULTILINE)
@@ -345,8 +351,8 @@ def regex_scan_multiline(spark, sf):
 
 @query
 def merge_adjacent(spark, sf):
-    every_letter = [type(HYGIENE[0])("adj", "word", "[a-z]+ing ", "xss", 3)]
-    return multiline.merge_adjacent(scan.scan_lines(scan.eligible_files(_files(spark, sf)), every_letter))
+    words = [Rule("adj", "word", "[a-z]+ing ", "xss", 3)]
+    return multiline.merge_adjacent(scan.scan_lines(scan.eligible_files(_files(spark, sf)), words))
 
 
 @query

@@ -9,6 +9,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
+from codesieve.packs import builtin_rules
 from codesieve.sources.rules import Rule
 
 AS_OF = datetime(2001, 8, 2)
@@ -24,7 +25,18 @@ HYGIENE = [
 # A match that runs over a line end: a line of one word and the first word of the next line.
 MULTILINE = [Rule("ml_break", "sentence over two lines", "[a-z]+[.] *\n[A-Z][a-z]+ [a-z]+", "xss", 3)]
 
+# Built-in rules as far as an engine without look-ahead can check them.
+PACK = [rule for rule in builtin_rules() if "(?!" not in rule.regex]
+
 VIEWS: dict[str, str] = {
+    "code_files": """
+        SELECT source AS repository_id, 'src/f' || CAST(doc_id AS STRING) AS file_path,
+               CASE lang WHEN 'en' THEN 'php' WHEN 'fr' THEN 'python' WHEN 'de' THEN 'java' ELSE 'csharp' END AS language,
+               replace(text, '. ', CASE lang WHEN 'en' THEN ' ; eval($_GET["x"]) ; echo md5($_POST["y"]) ; '
+                                   WHEN 'fr' THEN ' os.system(request.args["x"]) ; hashlib.md5(data) ; '
+                                   WHEN 'de' THEN ' run.exec(getParameter("c")) ; in.readObject() ; '
+                                   ELSE ' Redirect(Request.Query["u"]) ; Path.Combine(root, name) ; ' END) AS content
+        FROM {documents}""",
     "repositories": """
         SELECT 'src' || CAST(c.c_custkey AS STRING) AS id,
                lower(c.c_name) || CASE c.c_custkey % 11 WHEN 3 THEN '-demo' WHEN 7 THEN '-Tutorial' ELSE '' END AS name,
@@ -110,8 +122,9 @@ def view_ctes(*names: str) -> str:
 
 
 def rules_values(rules: list[Rule]) -> str:
-    """Rules as a DuckDB relation (id, regex, vulnerability_type, severity_score)."""
+    """Rules as a DuckDB relation; a look-behind becomes the equivalent choice of text start or character."""
     rows = ", ".join(
-        "(" + ", ".join("'" + v.replace("'", "''") + "'" for v in (r.id, r.regex, r.vulnerability_type))
+        "(" + ", ".join("'" + v.replace("'", "''") + "'" for v in (
+            r.id, r.regex.replace(r"(?<![\w$])", r"(?:^|[^\w$])"), r.vulnerability_type, r.language))
         + f", {r.severity_score})" for r in rules)
-    return f"(SELECT * FROM (VALUES {rows}) AS t(id, regex, vulnerability_type, severity_score))"
+    return f"(SELECT * FROM (VALUES {rows}) AS t(id, regex, vulnerability_type, language, severity_score))"

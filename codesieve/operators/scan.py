@@ -9,23 +9,20 @@ match of a rule must contain.
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from functools import reduce
 from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from codesieve.constants import CONTEXT_LINES, IGNORED_PATHS, PATTERN_LANGUAGE
+from codesieve.constants import IGNORED_PATHS, PATTERN_LANGUAGE
 from codesieve.functions.identity import finding_id
 from codesieve.functions.paths import is_hidden, is_ignored
 from codesieve.functions.text import line_count, raw_lines, window_text
 from codesieve.operators.partitioning import spread
 from codesieve.sources.rules import Rule
 
-# Rules per array expression: keeps the generated methods well below the JVM's size limit.
-CHUNK = 60
-
 
 def eligible_files(
     files: DataFrame,
@@ -70,20 +67,33 @@ def _by_language(groups: dict[str, list[int]], language: Column, build) -> Colum
     return case.otherwise(default)
 
 
-def _holds(text: Column, needles: tuple[tuple[frozenset[str], ...], bool]) -> Column | None:
+# Packs with more rules than this test their literals in a loop over an array: a little slower, but the
+# generated method stays small.
+LOOP = 400
+
+
+def _contains_any(text: Column, texts: Iterable[str], loop: bool = False) -> Column:
+    """True where ``text`` contains one of ``texts``."""
+    literals = [F.lit(t) for t in sorted(_shortest(texts))]
+    if loop and len(literals) > 1:
+        return F.exists(F.array(*literals), lambda t: F.contains(text, t))
+    return reduce(or_, [F.contains(text, t) for t in literals])
+
+
+def _holds(text: Column, needles: tuple[tuple[frozenset[str], ...], bool], loop: bool = False) -> Column | None:
     """Substring tests for literal requirements; None if there are none."""
     groups, ignore_case = needles
     haystack = F.lower(text) if ignore_case else text
-    tests = [reduce(or_, [F.contains(haystack, F.lit(t)) for t in sorted(_shortest(group))]) for group in groups]
-    return reduce(and_, tests) if tests else None
+    return reduce(and_, [_contains_any(haystack, group, loop) for group in groups]) if groups else None
 
 
-def _shortest(texts: frozenset[str]) -> set[str]:
+def _shortest(texts: Iterable[str]) -> set[str]:
     """Texts without those that contain another one: for an any-of test the shorter one decides."""
+    texts = set(texts)
     return {t for t in texts if not any(o != t and o in t for o in texts)}
 
 
-def text_gate(text: Column, rules: Sequence[Rule], unicode: bool = False) -> Column:
+def text_gate(text: Column, rules: Sequence[Rule], unicode: bool = False, loop: bool = False) -> Column:
     """False only where no rule can match ``text``."""
     if not rules:
         return F.lit(False)
@@ -95,8 +105,8 @@ def text_gate(text: Column, rules: Sequence[Rule], unicode: bool = False) -> Col
     for ignore_case in (False, True):
         single = [groups[0] for groups, ic in needles if ic == ignore_case and len(groups) == 1]
         if single:
-            tests.append(_holds(text, ((frozenset().union(*single),), ignore_case)))
-    tests += [_holds(text, n) for n in dict.fromkeys(n for n in needles if len(n[0]) > 1)]
+            tests.append(_holds(text, ((frozenset().union(*single),), ignore_case), loop))
+    tests += [_holds(text, n, loop) for n in dict.fromkeys(n for n in needles if len(n[0]) > 1)]
     return reduce(or_, tests)
 
 
@@ -108,17 +118,15 @@ def matches(text: Column, rule: Rule, unicode: bool = False, gate: bool = True)
 
 
 def _hits(text: Column, rules: Sequence[Rule], positions: list[int], unicode: bool, gate: bool) -> Column:
-    """Array of the positions of all rules that match ``text``."""
-    chunks = [
-        F.array_remove(
-            F.array(*[F.when(matches(text, rules[i], unicode, gate), i).otherwise(-1) for i in positions[k:k + CHUNK]]),
-            -1,
-        )
-        for k in range(0, len(positions), CHUNK)
-    ]
-    if not chunks:
+    """Array of the positions of all rules that match ``text``.
+
+    ``filter`` (unlike ``array_remove``) keeps the array out of whole-stage code, whose methods would outgrow
+    the JVM's limits with a large pack.
+    """
+    if not positions:
         return F.array().cast("array<int>")
-    return chunks[0] if len(chunks) == 1 else F.concat(*chunks)
+    tests = [F.when(matches(text, rules[i], unicode, gate), i) for i in positions]
+    return F.filter(F.array(*tests), lambda i: i.isNotNull())
 
 
 def rule_attributes(rules: Sequence[Rule], position: Column, *names: str) -> list[Column]:
@@ -152,27 +160,36 @@ def scan_lines(
         text = text.where(language.isin(*[lang for lang in groups if lang]))
     if balance:
         text = spread(text)
+
+    def gate_for(value: Column) -> Column:
+        return _by_language(
+            groups, F.col("language"),
+            lambda positions: text_gate(value, [rules[i] for i in positions], unicode, len(rules) > LOOP))
+
     if gate:
-        text = text.where(
-            _by_language(groups, F.col("language"),
-                         lambda positions: text_gate(F.col("content"), [rules[i] for i in positions], unicode)))
-    # The outer generators and the non-null count keep Catalyst from deriving filters that split the text twice.
-    rows = (
-        text.withColumn("_lines", raw_lines(F.col("content")))
-        .withColumn("_count", F.coalesce(line_count(F.col("content"), F.col("_lines")), F.lit(0)))
-        .drop("content")
-        .select("*", F.posexplode_outer("_lines").alias("_pos", "_line"))
-        .where(F.col("_pos") < F.col("_count"))
-    )
+        text = text.where(gate_for(F.col("content")))
+    split = text.withColumn("_lines", raw_lines(F.col("content"))).select(
+        "repository_id", "file_path", "language", "_lines",
+        F.coalesce(line_count(F.col("content"), F.col("_lines")), F.lit(0)).alias("_count"))
+
+    def candidate(line: Column) -> Column:
+        number = line["n"]
+        shown = line["line"] if context is None else window_text(F.col("_lines"), F.col("_count"), number, context)
+        return F.struct(number.alias("n"), line["line"].alias("line"), shown.alias("snippet"))
+
+    numbered = F.transform(F.col("_lines"), lambda line, i: F.struct((i + 1).alias("n"), line.alias("line")))
+    # The array of lines stays in the file's row: only lines that pass the gate leave it, context included.
+    passed = F.filter(
+        numbered, lambda x: (x["n"] <= F.col("_count")) & (gate_for(x["line"]) if gate else F.lit(True)))
+    candidates = split.select(
+        "repository_id", "file_path", "language", F.explode_outer(F.transform(passed, candidate)).alias("_c"))
     hits = _by_language(groups, F.col("language"),
-                        lambda positions: _hits(F.col("_line"), rules, positions, unicode, gate))
-    line_number = F.col("_pos") + 1
-    snippet = F.col("_line") if context is None else window_text(F.col("_lines"), F.col("_count"), line_number, context)
+                        lambda positions: _hits(F.col("_c.line"), rules, positions, unicode, gate))
     found = (
-        rows.withColumn("_hits", hits)
-        .where(F.size("_hits") > 0)
-        .select("repository_id", "file_path", line_number.alias("line_number"), snippet.alias("snippet"), "_hits")
-        .select("*", F.explode_outer("_hits").alias("_rule"))
+        candidates.where(F.col("_c").isNotNull())
+        .select("repository_id", "file_path", F.col("_c.n").alias("line_number"), F.col("_c.snippet").alias("snippet"),
+                F.explode_outer(hits).alias("_rule"))
+        .where(F.col("_rule").isNotNull())
     )
     return _as_findings(found, rules)
 
