@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from checks.views import HYGIENE, PACK, rules_values, view_ctes
+from checks.views import HYGIENE, PACK, rule_selects, rules_values, view_ctes
 
 NS = "6ba7b8109dad11d180b400c04fd430c8"
 IGNORED = "(^|/)(node_modules|vendor|dist|build|target|migrations)(/|$)"
@@ -229,19 +229,21 @@ ORACLE: dict[str, str] = {
     "relativize_path": _with((F,), "", f"SELECT repository_id, {EVENT_PATH} AS path, {EVENT_REL} AS relative FROM source_files"),
     "code_search": _with((F, R), """lines AS (SELECT repository_id, file_path, a[i] AS line, CAST(i AS INTEGER) AS line_number
         FROM (SELECT repository_id, file_path, string_split(content, chr(10)) AS a FROM source_files WHERE language = 'en'
-              AND lower(file_path) NOT LIKE '%vendor%' AND lower(file_path) NOT LIKE '%controllers%') s,
+              AND lower(file_path) NOT LIKE '%vendor%' AND lower(file_path) NOT LIKE '%routes%') s,
              unnest(range(1, len(a) + 1)) AS t(i))""", """SELECT repository_id, file_path, line_number, line, '' AS path_tags
-        FROM lines WHERE regexp_matches(line, '[A-Za-z]+@[a-z.]+')
-        AND repository_id IN (SELECT id FROM repositories WHERE stars > 1000)"""),
+        FROM lines WHERE regexp_matches(line, '[0-9]{3,}')
+        AND repository_id IN (SELECT id FROM repositories WHERE stars > 100)"""),
     "path_tags": """SELECT page_id, url, concat_ws(',',
         CASE WHEN regexp_matches(lower(url), 'reset|forgot|password') THEN 'account_recovery' END,
         CASE WHEN regexp_matches(lower(url), 'api') THEN 'api' END,
         CASE WHEN regexp_matches(lower(url), 'upload|import|backup') THEN 'file_exchange' END,
         CASE WHEN regexp_matches(lower(url), 'admin|internal|debug|test|dev') THEN 'sensitive_area' END) AS tags FROM pages""",
     "regex_scan": _with((F,), RAW, f"SELECT {PLAIN} FROM raw"),
-    "rule_pack_scan": _with(("code_files",), LINES.replace("source_files", "code_files") + f""",
-        pack AS {rules_values(PACK)}""", f"""SELECT {FINDING_ID} AS id, l.repository_id, l.file_path, l.line_number, p.id AS pattern_id,
-        p.vulnerability_type, 0 AS score FROM lines l JOIN pack p ON l.language = p.language AND regexp_matches(l.line, p.regex)"""),
+    "rule_pack_scan": _with(("code_files",), LINES.replace("source_files", "code_files").replace(
+        "lines AS (", "lines AS MATERIALIZED (") + f""",
+        hits AS ({" UNION ALL ".join(rule_selects(PACK))})""", f"""SELECT {FINDING_ID} AS id, l.repository_id, l.file_path, l.line_number,
+        p.id AS pattern_id, p.vulnerability_type, 0 AS score
+        FROM hits l, (SELECT id, vulnerability_type FROM {rules_values(PACK)}) p WHERE p.id = l.rule"""),
     "regex_scan_multiline": _with((F,), f"""
         eligible AS (SELECT * FROM source_files WHERE NOT regexp_matches(file_path, '{IGNORED}')),
         parts AS (SELECT repository_id, file_path, string_split(content, chr(10)) AS a, string_split(regexp_replace(content,

@@ -321,7 +321,7 @@ def relativize_path(spark, sf):
 
 @query
 def code_search(spark, sf):
-    wanted = search.Search("[A-Za-z]+@[a-z.]+", language="en", without_paths=("vendor", "controllers"), min_stars=1000)
+    wanted = search.Search("[0-9]{3,}", language="en", without_paths=("vendor", "routes"), min_stars=100)
     hits = search.code_search(_files(spark, sf), wanted, table(spark, sf, "repositories"))
     return hits.withColumn("path_tags", F.array_join("path_tags", ","))
 

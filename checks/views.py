@@ -121,10 +121,24 @@ def view_ctes(*names: str) -> str:
     return ", ".join(f"{name} AS ({text})" for name, text in parts.items())
 
 
+def _re2(regex: str) -> str:
+    """The regex with a look-behind written as the equivalent choice of text start or character."""
+    return regex.replace(r"(?<![\w$])", r"(?:^|[^\w$])")
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
 def rules_values(rules: list[Rule]) -> str:
-    """Rules as a DuckDB relation; a look-behind becomes the equivalent choice of text start or character."""
+    """Rules as a DuckDB relation."""
     rows = ", ".join(
-        "(" + ", ".join("'" + v.replace("'", "''") + "'" for v in (
-            r.id, r.regex.replace(r"(?<![\w$])", r"(?:^|[^\w$])"), r.vulnerability_type, r.language))
-        + f", {r.severity_score})" for r in rules)
+        f"({', '.join(map(_quoted, (r.id, _re2(r.regex), r.vulnerability_type, r.language)))}, {r.severity_score})"
+        for r in rules)
     return f"(SELECT * FROM (VALUES {rows}) AS t(id, regex, vulnerability_type, language, severity_score))"
+
+
+def rule_selects(rules: list[Rule]) -> list[str]:
+    """One DuckDB query per rule over ``lines``; constant regexes are compiled once."""
+    return [f"SELECT repository_id, file_path, line_number, {_quoted(r.id)} AS rule FROM lines "
+            f"WHERE language = {_quoted(r.language)} AND regexp_matches(line, {_quoted(_re2(r.regex))})" for r in rules]

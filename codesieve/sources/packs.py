@@ -9,6 +9,8 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
+from functools import reduce
+from operator import and_
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,8 +20,11 @@ from pyspark.sql.types import BooleanType
 REQUIRED = ["id", "name", "regex", "vulnerability_type", "severity_score"]
 
 
-@F.pandas_udf(BooleanType())
-def regex_compiles(regex: pd.Series) -> pd.Series:
+# The functions for Python workers are nested, so that they travel by value and the workers need not have this
+# package installed.
+
+
+def regex_compiles(regex: Column) -> Column:
     """True where the regex is valid."""
 
     def valid(text: str | None) -> bool:
@@ -31,34 +36,39 @@ def regex_compiles(regex: pd.Series) -> pd.Series:
             return False
         return True
 
-    return regex.map(valid)
+    def compiles(texts: pd.Series) -> pd.Series:
+        return texts.map(valid)
+
+    return F.pandas_udf(compiles, BooleanType())(regex)
 
 
-def _yaml_as_json(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _yaml_as_json(texts: DataFrame) -> DataFrame:
     """YAML documents as JSON text, null if unreadable."""
-    import yaml
 
     def convert(text: str) -> str | None:
+        import yaml
+
         try:
             return json.dumps(yaml.safe_load(text), default=str)
         except yaml.YAMLError:
             return None
 
-    for batch in batches:
-        batch["value"] = batch["value"].map(convert)
-        yield batch
+    def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            yield frame.assign(value=frame["value"].map(convert))
+
+    return texts.mapInPandas(batches, "source_file string, value string")
 
 
 def read_documents(spark: SparkSession, folder: str) -> DataFrame:
     """Pack documents below ``folder`` as (source_file, value = JSON text)."""
     texts = (
-        spark.read.option("recursiveFileLookup", "true").option("wholetext", "true").text(folder)
+        spark.read.option("recursiveFileLookup", "true").text(folder, wholetext=True)
         .select(F.col("_metadata.file_path").alias("source_file"), "value")
     )
     as_json = texts.where(F.endswith("source_file", F.lit(".json")))
-    as_yaml = texts.where(F.col("source_file").rlike(r"\.ya?ml$")).mapInPandas(
-        _yaml_as_json, "source_file string, value string")
-    return as_json.unionByName(as_yaml)
+    as_yaml = texts.where(F.col("source_file").rlike(r"\.ya?ml$"))
+    return as_json.unionByName(_yaml_as_json(as_yaml))
 
 
 def pack_entries(documents: DataFrame) -> DataFrame:
@@ -86,10 +96,7 @@ def validate_entries(entries: DataFrame, regex_ok: Column | None = None) -> Data
             return value
         return F.coalesce(F.when(F.map_contains_key(entry, name), value), default, F.lit(""))
 
-    missing = [name for name in REQUIRED]
-    has_all = F.lit(True)
-    for name in missing:
-        has_all = has_all & F.map_contains_key(entry, name)
+    has_all = reduce(and_, [F.map_contains_key(entry, name) for name in REQUIRED])
     severity = F.try_to_number(F.trim(field("severity_score")), F.lit("S999999999")).cast("int")
     compiles = regex_compiles(field("regex")) if regex_ok is None else regex_ok
     columns = entries.select(
