@@ -80,9 +80,9 @@ def scan_texts(
 
     def spans_of(i: int) -> Column:
         found = F.transform(
-            match_spans(content, rules[i].java_regex(unicode)),
+            match_spans(content, rules[i].java_regex(unicode, whole_text=True)),
             lambda s: F.struct(F.lit(i).alias("rule"), s["first"].alias("first"), s["last"].alias("last")))
-        return F.when(and_(applies(i), matches(content, rules[i], unicode)), found).otherwise(
+        return F.when(and_(applies(i), matches(content, rules[i], unicode, whole_text=True)), found).otherwise(
             F.array().cast("array<struct<rule:int,first:int,last:int>>"))
 
     hits = F.flatten(F.array(*[spans_of(i) for i in range(len(rules))]))

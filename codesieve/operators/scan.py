@@ -110,9 +110,9 @@ def text_gate(text: Column, rules: Sequence[Rule], unicode: bool = False, loop:
     return reduce(or_, tests)
 
 
-def matches(text: Column, rule: Rule, unicode: bool = False, gate: bool = True) -> Column:
-    """True where ``rule`` matches somewhere in ``text``."""
-    hit = text.rlike(rule.java_regex(unicode))
+def matches(text: Column, rule: Rule, unicode: bool = False, gate: bool = True, whole_text: bool = False) -> Column:
+    """True where ``rule`` matches somewhere in ``text``, a line or (``whole_text``) several."""
+    hit = text.rlike(rule.java_regex(unicode, whole_text))
     test = _holds(text, rule.needles(unicode)) if gate else None
     return hit if test is None else test & hit
 

@@ -77,9 +77,10 @@ def _findings_type() -> str:
     return schemas.SAST_RESULT.partition(" ")[2]
 
 
-def read_repo_report(spark: SparkSession, path: str) -> DataFrame:
-    """Rows of a repository report (a JSON array or JSON lines); bad rows are left out."""
-    rows = spark.read.schema(schemas.REPO_REPORT).option("multiLine", "true").option("mode", "DROPMALFORMED").json(path)
+def read_repo_report(spark: SparkSession, path: str, array: bool = False) -> DataFrame:
+    """Rows of a repository report, JSON lines or (``array``) one JSON array; bad rows are left out."""
+    reader = spark.read.schema(schemas.REPO_REPORT).option("mode", "DROPMALFORMED")
+    rows = (reader.option("multiLine", "true") if array else reader).json(path)
     return rows.where(F.length("repository_name") > 0)
 
 

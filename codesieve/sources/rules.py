@@ -35,12 +35,16 @@ class Rule:
         """(groups, ignore_case): every match contains at least one text of each group."""
         return required_texts(self.regex, unicode)
 
-    def java_regex(self, unicode: bool = False) -> str:
-        """The regex for Java: ``^``/``$`` at every line, newline as the only line end, group names spelled
-        the Java way; ``unicode`` widens ``\\w``, ``\\s``, ``\\b`` beyond ASCII."""
+    def java_regex(self, unicode: bool = False, whole_text: bool = False) -> str:
+        """The regex for Java: newline is the only line end, group names are spelled the Java way.
+
+        ``whole_text`` lets ``^`` and ``$`` match at every line; for a single line they need no help (and Java
+        would not let ``^`` match an empty one).  ``unicode`` widens ``\\w``, ``\\s``, ``\\b`` beyond ASCII.
+        """
         body = self.regex.replace("(?P<", "(?<")
         body = re.sub(r"\(\?P=(\w+)\)", r"\\k<\1>", body)
-        return ("(?mdU)" if unicode else "(?md)") + body
+        flags = "d" + ("m" if whole_text else "") + ("U" if unicode else "")
+        return f"(?{flags}){body}"
 
 
 # A literal this long is selective on its own; shorter ones are combined with up to two more.

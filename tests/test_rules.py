@@ -114,8 +114,9 @@ def test_required_texts_ignore_case():
 
 def test_java_spelling():
     rule = Rule("a", "a", r"(?P<q>['\"]).*(?P=q)", "xss", 1)
-    assert rule.java_regex() == r"(?md)(?<q>['\"]).*\k<q>"
-    assert rule.java_regex(unicode=True).startswith("(?mdU)")
+    assert rule.java_regex() == r"(?d)(?<q>['\"]).*\k<q>"
+    assert rule.java_regex(unicode=True).startswith("(?dU)")
+    assert rule.java_regex(whole_text=True).startswith("(?dm)")
 
 
 def test_rules_round_trip(spark):
