@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from codesieve.packs import builtin_rules
 from codesieve.sources.rules import Rule
+from codesieve.sources.tables import read_table
 
 AS_OF = datetime(2001, 8, 2)
 
@@ -91,13 +92,15 @@ VIEWS: dict[str, str] = {
         FROM {flaw_rows}""",
 }
 
+# Text-heavy or costly to expand, and stored as one row group.
+SPREAD = ("documents", "lineitem", "conversations")
 INPUTS = ("customer", "orders", "documents", "part", "lineitem", "pages", "events", "conversations", "nation")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table or one of the views."""
     if name not in VIEWS:
-        return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        return read_table(spark, f"{sf_dir.rstrip('/')}/{name}.parquet", spread=name in SPREAD)
     text = VIEWS[name]
     inputs = {ref: table(spark, sf_dir, ref) for ref in (*INPUTS, *VIEWS) if "{" + ref + "}" in text}
     return spark.sql(text, **inputs)

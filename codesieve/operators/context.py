@@ -5,11 +5,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from codesieve.constants import CONTEXT_LINES, EXCERPT_LINES
-from codesieve.functions.text import excerpt_text, line_count, lines, raw_lines, window_text
+from codesieve.functions.text import excerpt_text, line_count, raw_lines, window_text
 from codesieve.operators.partitioning import join_hot
 
 FILE = ["repository_id", "file_path"]
@@ -45,12 +45,16 @@ def _windows(located: DataFrame, files: DataFrame, around: int) -> DataFrame:
 
 
 def context_by_window(files: DataFrame, around: int = CONTEXT_LINES) -> DataFrame:
-    """Every line of every file with its context, by a sliding window over exploded lines."""
-    exploded = files.select(*FILE, F.posexplode(lines(F.col("content"))).alias("_pos", "line")).withColumn(
-        "line_number", F.col("_pos") + 1)
-    frame = Window.partitionBy(*FILE).orderBy("line_number").rowsBetween(-around, around)
-    text = F.array_join(F.collect_list(F.regexp_replace("line", "\r$", "")).over(frame), "\n")
-    return exploded.withColumn("snippet", text).select(*FILE, "line_number", "line", "snippet")
+    """Every line of every file with its context: a sliding window inside the file's row, without a shuffle."""
+    pieces = files.select(*FILE, "content", raw_lines(F.col("content")).alias("_lines"))
+    counted = pieces.select(*FILE, "_lines", F.coalesce(
+        line_count(F.col("content"), F.col("_lines")), F.lit(0)).alias("_count"))
+    shown = F.transform(
+        F.slice("_lines", F.lit(1), F.col("_count")),
+        lambda line, i: F.struct(
+            (i + 1).alias("line_number"), line.alias("line"),
+            window_text(F.col("_lines"), F.col("_count"), i + 1, around).alias("snippet")))
+    return counted.select(*FILE, F.explode(shown).alias("_w")).select(*FILE, "_w.*")
 
 
 def attach_excerpt(flaws: DataFrame, files: DataFrame, around: int = EXCERPT_LINES) -> DataFrame:

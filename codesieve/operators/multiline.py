@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from codesieve.functions.text import line_count, raw_lines, window_text
-from codesieve.operators.partitioning import spread
 from codesieve.operators.scan import _as_findings, matches, rules_by_language
 from codesieve.sources.rules import Rule
 
@@ -56,7 +55,6 @@ def scan_texts(
     unicode: bool = False,
     strict: bool = False,
     merge: bool = False,
-    balance: bool = True,
 ) -> DataFrame:
     """One finding per (file, rule, first line of a match); a match may run over several lines.
 
@@ -65,8 +63,6 @@ def scan_texts(
     """
     groups = rules_by_language(rules, strict)
     text = files.select("repository_id", "file_path", "language", "content")
-    if balance:
-        text = spread(text)
     content = F.col("content")
 
     def applies(i: int) -> Column:

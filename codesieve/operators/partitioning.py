@@ -1,4 +1,4 @@
-"""Spreading work: input balance and joins that survive hot keys."""
+"""Joins that survive hot keys."""
 
 from __future__ import annotations
 
@@ -10,17 +10,6 @@ from pyspark.sql import functions as F
 SALTS = 16
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Redistribute rows when the input has fewer splits than the cluster has slots.
-
-    A large input has more splits than slots and stays where it is, so at scale nothing is shuffled.
-    """
-    if df.isStreaming:
-        return df
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
-
-
 def join_hot(
     facts: DataFrame,
     dimension: DataFrame,

@@ -48,20 +48,6 @@ def repository_counts(rows: DataFrame, cap: int = C.SAST_CAP) -> DataFrame:
         n.alias("total_qualifying"), F.least(n, F.lit(cap)).alias("assessed_count"), (n > cap).alias("capped"))
 
 
-def combined_results(rows: DataFrame, cap: int = C.SAST_CAP) -> DataFrame:
-    """One document per repository: counts and its at most ``cap`` flaws in rank order.
-
-    ``rows`` are qualifying flaws; ``source_excerpt`` is carried along if present.
-    """
-    top = top_per_repository(rows, cap)
-    fields = ["rank", "issue_id", "scan_file", "cwe_id", "issue_type", "severity", "file", "line"]
-    fields += [c for c in ("source_excerpt", "display_text", "flaw_details", "description", "cwename", "stack_dumps")
-               if c in rows.columns]
-    per_repo = top.groupBy("repo").agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("findings"))
-    return repository_counts(rows, cap).join(per_repo, "repo").select(
-        "repo", "total_qualifying", "assessed_count", "capped", "findings")
-
-
 def high_severity(rows: DataFrame, at_least: int = C.HIGH_SEVERITY) -> DataFrame:
     """Flaws of high severity; a missing severity counts 0."""
     return rows.where(F.coalesce("severity", F.lit(0)) >= at_least)

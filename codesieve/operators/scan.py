@@ -20,7 +20,6 @@ from codesieve.constants import IGNORED_PATHS, PATTERN_LANGUAGE
 from codesieve.functions.identity import finding_id
 from codesieve.functions.paths import is_hidden, is_ignored
 from codesieve.functions.text import line_count, raw_lines, window_text
-from codesieve.operators.partitioning import spread
 from codesieve.sources.rules import Rule
 
 
@@ -143,7 +142,6 @@ def scan_lines(
     unicode: bool = False,
     strict: bool = False,
     gate: bool = True,
-    balance: bool = True,
 ) -> DataFrame:
     """One finding per (file, line, rule that matches the line).
 
@@ -158,8 +156,6 @@ def scan_lines(
     language = F.lower("language")
     if not groups[""]:
         text = text.where(language.isin(*[lang for lang in groups if lang]))
-    if balance:
-        text = spread(text)
 
     def gate_for(value: Column) -> Column:
         return _by_language(

@@ -5,26 +5,37 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from codesieve import constants as C
 from codesieve.operators import sast
 from codesieve.operators.context import attach_excerpt
+from codesieve.session import durable
 
 
-def combine(results: DataFrame, files: DataFrame, cwes: Sequence[str] = C.SAST_CWES, cap: int = C.SAST_CAP) -> DataFrame:
+def combine(
+    results: DataFrame, files: DataFrame, cwes: Sequence[str] = C.SAST_CWES, cap: int = C.SAST_CAP,
+    checkpoint: bool = False,
+) -> DataFrame:
     """Capped, excerpted flaws per repository as rows, with the repository's counts.
 
-    Excerpts are cut for the at most ``cap`` flaws per repository only.
+    Excerpts are cut for the at most ``cap`` flaws per repository only.  ``checkpoint`` stores those before the
+    two passes the excerpts need, so that large result files are read once less.
     """
     rows = sast.qualifying(sast.flaws(results), cwes)
-    top = attach_excerpt(sast.top_per_repository(rows, cap), files)
+    top = sast.top_per_repository(rows, cap)
+    top = attach_excerpt(durable(top) if checkpoint else top, files)
     return top.join(sast.repository_counts(rows, cap), "repo")
 
 
-def documents(results: DataFrame, files: DataFrame, cwes: Sequence[str] = C.SAST_CWES, cap: int = C.SAST_CAP) -> DataFrame:
+def documents(
+    results: DataFrame, files: DataFrame, cwes: Sequence[str] = C.SAST_CWES, cap: int = C.SAST_CAP,
+    checkpoint: bool = False,
+) -> DataFrame:
     """The same as one document per repository."""
-    rows = sast.qualifying(sast.flaws(results), cwes)
-    top = attach_excerpt(sast.top_per_repository(rows, cap).drop("rank"), files)
-    counts = sast.repository_counts(rows, cap)
-    return sast.combined_results(top, cap).select("repo", "findings").join(counts, "repo").select(
-        "repo", "total_qualifying", "assessed_count", "capped", "findings")
+    fields = ["rank", "issue_id", "scan_file", "cwe_id", "issue_type", "severity", "file", "line", "source_excerpt",
+              "display_text", "flaw_details", "description", "cwename", "stack_dumps"]
+    counts = ["repo", "total_qualifying", "assessed_count", "capped"]
+    # At most ``cap`` rows per group, so the list is bounded.
+    return combine(results, files, cwes, cap, checkpoint).groupBy(*counts).agg(
+        F.array_sort(F.collect_list(F.struct(*fields))).alias("findings"))

@@ -29,6 +29,8 @@ class Settings:
     language: str | None = None
     unicode: bool = False
     strict: bool = False
+    # Join file texts with the kept repositories before scanning instead of findings after it.
+    restrict_first: bool = False
 
 
 def prepare_repositories(
@@ -48,16 +50,22 @@ def scan_repositories(
     files: DataFrame, repositories: DataFrame, rules: Sequence[Rule], settings: Settings = Settings(),
     done: DataFrame | None = None, force: bool = False,
 ) -> DataFrame:
-    """Raw findings, with context, of the files of ``repositories``; files of ``done`` repositories are left out.
+    """Raw findings, with context, of the files of ``repositories`` that are not ``done`` yet (all with ``force``).
 
-    The findings, not the file texts, are joined with the repositories: texts never move.  Where the table of
-    kept repositories is small, Spark broadcasts it for the early restriction as well.
+    Matching costs more than moving text, so an incremental run leaves the texts of finished repositories out
+    before it scans.  A full run scans where the texts lie and restricts the (few) findings, unless
+    ``settings.restrict_first`` says that many files belong to rejected repositories.
     """
+    ids = repositories.select(F.col("id").alias("repository_id"))
+    incremental = done is not None and not force
+    if incremental:
+        ids = not_done(ids, done, "repository_id")
     chosen = eligible_files(files, settings.ignored_paths)
+    if incremental or settings.restrict_first:
+        chosen = join_hot(chosen, ids, "repository_id", "left_semi", F.xxhash64("file_path"))
     found = scan_lines(chosen, rules, context=settings.context, unicode=settings.unicode, strict=settings.strict)
-    if done is not None:
-        found = not_done(found, done, "repository_id", force)
-    ids = repositories.select(F.col("id").alias("repository_id"))
+    if incremental or settings.restrict_first:
+        return found
     return join_hot(found, ids, "repository_id", "left_semi", F.xxhash64("id"))
 
 
@@ -72,8 +80,10 @@ def triage(
     there: findings are scored by type and path and de-duplicated first, and only winners meet the repositories.
     """
     repos = prepare_repositories(repositories, as_of, settings, signals, files)
-    chosen = eligible_files(files, settings.ignored_paths)
-    found = scan_lines(chosen, rules, context=settings.context, unicode=settings.unicode, strict=settings.strict)
+    found = (
+        scan_repositories(files, repos, rules, settings) if settings.restrict_first
+        else scan_lines(eligible_files(files, settings.ignored_paths), rules, context=settings.context,
+                        unicode=settings.unicode, strict=settings.strict))
     best = deduplicate(score_findings(found))
     queue = review_queue(best, repos) if local_repositories is None else report_rows(best, repos, local_repositories)
     bonus = F.floor(F.col("repo_score") / 10).cast("int")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -30,20 +31,29 @@ def stream_findings(
     return scan_lines(eligible_files(files, ignored), rules, context=context)
 
 
+BUCKETS = 64
+
+
 def write_findings_stream(findings: DataFrame, target: str, checkpoint: str, **trigger: object) -> StreamingQuery:
     """Append findings whose id is new to the Parquet table ``target``.
 
     Each micro-batch owns one partition folder and replaces it, so a batch that is delivered again after a
-    failure leaves the table as it was; ids of earlier batches are skipped.
+    failure leaves the table as it was.  Ids of earlier batches are skipped; the table is also partitioned by a
+    hash of the repository, and only the partitions of repositories in the batch (at most ``BUCKETS``) are read
+    for that.
     """
 
     def append(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        earlier = _existing(spark, target, batch)
-        fresh = batch if earlier is None else None
-        rows = batch.dropDuplicates(["id"]) if fresh is not None else insert_ignore(
-            earlier.where(F.col("batch_id") < batch_id), batch)
-        rows.write.mode("overwrite").parquet(f"{target.rstrip('/')}/batch_id={batch_id}")
+        # Kept for the two uses below, so that a batch is scanned once.
+        rows = batch.withColumn("bucket", F.pmod(F.xxhash64("repository_id"), F.lit(BUCKETS)).cast("int")).persist()
+        buckets = [row.bucket for row in rows.select("bucket").distinct().collect()]
+        earlier = _existing(batch, target)
+        if earlier is None:
+            fresh = rows.dropDuplicates(["id"])
+        else:
+            fresh = insert_ignore(earlier.where(F.col("bucket").isin(buckets) & (F.col("batch_id") < batch_id)), rows)
+        fresh.write.mode("overwrite").partitionBy("bucket").parquet(f"{target.rstrip('/')}/batch_id={batch_id}")
+        rows.unpersist()
 
     return (
         findings.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint)
@@ -51,13 +61,12 @@ def write_findings_stream(findings: DataFrame, target: str, checkpoint: str, **t
     )
 
 
-def _existing(spark: SparkSession, target: str, batch: DataFrame) -> DataFrame | None:
+def _existing(batch: DataFrame, target: str) -> DataFrame | None:
     """The table written so far, None before the first batch."""
-    from pyspark.errors import AnalysisException
-
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in batch.schema.fields) + ", batch_id bigint"
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in batch.schema.fields)
+    reader = batch.sparkSession.read.schema(f"{fields}, batch_id bigint, bucket int")
     try:
-        return spark.read.schema(schema).parquet(target)
+        return reader.parquet(target)
     except AnalysisException:
         return None
 
