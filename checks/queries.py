@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from checks.views import AS_OF, HYGIENE, MULTILINE, PACK, table
 from codesieve import constants as C
-from codesieve.functions import identity, paths, scoring, values
+from codesieve.functions import identity, paths, values
 from codesieve.functions.text import lines
 from codesieve.operators import (
     context, discovery, export, findings, multiline, repositories, sast, scan, search, tables, windows,
