@@ -169,6 +169,13 @@ def test_code_search(spark):
 def test_join_hot_is_the_plain_join(spark, how):
     facts = spark.range(300).select(F.when(F.col("id") < 200, 0).otherwise(F.col("id") % 7).alias("k"), "id")
     dims = spark.createDataFrame([(0, "a"), (1, "b"), (9, "c")], "k int, v string")
-    plain, hot = facts.join(dims, "k", how), join_hot(facts, dims, "k", how)
-    assert plain.columns == hot.columns
-    assert sorted(map(str, plain.collect())) == sorted(map(str, hot.collect()))
+    expected = sorted(map(str, facts.join(dims, "k", how).collect()))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for bytes_ in (threshold, "-1"):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", bytes_)
+            hot = join_hot(facts, dims, "k", how)
+            assert hot.columns == facts.join(dims, "k", how).columns
+            assert sorted(map(str, hot.collect())) == expected
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
