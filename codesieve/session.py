@@ -39,7 +39,7 @@ def durable(df: DataFrame) -> DataFrame:
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
     if context.getCheckpointDir() is None:
         if not folder:
-            if not context.master.startswith("local"):
+            if not context.master.startswith("local") or context.master.startswith("local-cluster"):
                 raise ValueError("set spark.checkpoint.dir to a folder all executors share")
             folder = tempfile.mkdtemp(prefix="codesieve-checkpoint-")
         context.setCheckpointDir(folder)
