@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from codesieve.llm import exact_dedup
+from codesieve.llm import exact_dedup, pieces
 from codesieve.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,3 +30,9 @@ ORACLE["op4_exact_dedup"] = r"""
     SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
            doc_id = min(doc_id) OVER g AS kept, text_sha256
     FROM t WINDOW g AS (PARTITION BY text_sha256)"""
+
+
+@query
+def op10_sentencepiece(spark, sf_dir):
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    return pieces.digests(pieces.encode_and_decode(documents(spark, sf_dir), model))
