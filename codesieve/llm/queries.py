@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from codesieve.llm import exact_dedup, pieces
-from codesieve.llm.common import documents
+from codesieve.llm import exact_dedup, pieces, secrets, url_filters
+from codesieve.llm.common import documents, table
+from codesieve.llm.url_filters import UrlRule
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -32,6 +34,39 @@ ORACLE["op4_exact_dedup"] = r"""
     FROM t WINDOW g AS (PARTITION BY text_sha256)"""
 
 
+# Rules fixed by the contract.
+URL_RULES = [UrlRule("com", "/", "allow"), UrlRule("example.com", "/en/", "block"),
+             UrlRule("www.example.com", "/en/", "allow"), UrlRule("net", "/es/", "block"),
+             UrlRule("net", "/fr/", "block")]
+
+
+@query
+def op7_url_filters(spark, sf_dir):
+    return url_filters.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+ORACLE["op7_url_filters"] = r"""
+    WITH rules(rule_host, rule_path, verdict) AS (VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'),
+            ('www.example.com', '/en/', 'allow'), ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+    parts AS (SELECT row_number() OVER () AS n, page_id, strpos(coalesce(url, ''), '://') AS sep, url FROM pages),
+    p AS (SELECT n, page_id,
+                 CASE WHEN sep = 0 THEN '' ELSE translate(regexp_extract(substr(url, sep + 3), '^[^/?#]*'),
+                    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') END AS host,
+                 CASE WHEN sep = 0 THEN '' ELSE regexp_extract(substr(url, sep + 3), '^[^/?#]*([^?#]*)', 1) END AS path
+          FROM parts),
+    fits AS (SELECT n, arg_max(rule_host || rule_path, length(rule_host || rule_path)) AS rule,
+                    arg_max(verdict, length(rule_host || rule_path)) AS verdict
+             FROM p JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host))
+                              AND starts_with(path, rule_path) GROUP BY n)
+    SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM p LEFT JOIN fits USING (n)"""
+
+
+@query
+def op8_secret_scans(spark, sf_dir):
+    found = secrets.find_secrets(documents(spark, sf_dir))
+    return found.withColumn("base_sha256", F.sha2("base_spans", 256)).drop("base_spans")
+
+
 @query
 def op10_sentencepiece(spark, sf_dir):
     model = public_tokenizers.path("piece_bpe_32k.model")
