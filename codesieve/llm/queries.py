@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codesieve.llm import exact_dedup, minhash, pieces, secrets, url_filters
+from codesieve.llm import exact_dedup, minhash, mixing, pieces, secrets, url_filters
 from codesieve.llm.common import documents, table
 from codesieve.llm.url_filters import UrlRule
 
@@ -21,6 +21,32 @@ def query(function):
     return function
 
 
+@query
+def op2_mix_sources(spark, sf_dir):
+    return mixing.mix(documents(spark, sf_dir))
+
+
+ORACLE["op2_mix_sources"] = """
+    WITH RECURSIVE counts AS (SELECT source, count(*) AS c FROM documents GROUP BY source),
+    shares AS (SELECT source, greatest(1, CAST(floor(1000 * sqrt(c) / (SELECT sum(sqrt(c)) FROM counts) + 0.5) AS INT))
+                      AS n, row_number() OVER (ORDER BY source NULLS FIRST) AS k FROM counts),
+    whole AS (SELECT CAST(sum(n) AS BIGINT) AS d, list(n ORDER BY k) AS ns FROM shares),
+    edf(t, done, pick) AS (
+        SELECT CAST(-1 AS BIGINT), list_transform(ns, lambda x: CAST(0 AS BIGINT)), CAST(NULL AS BIGINT) FROM whole
+        UNION ALL
+        SELECT next.t, list_transform(next.done, lambda x, j: x + CASE WHEN j = next.pick THEN 1 ELSE 0 END), next.pick
+        FROM (SELECT e.t + 1 AS t, e.done AS done,
+                     list_min(list_filter(list_transform(e.done, lambda x, j: CASE
+                        WHEN x < w.ns[j] AND (x * w.d) // w.ns[j] <= e.t + 1
+                        THEN (((x + 1) * w.d + w.ns[j] - 1) // w.ns[j]) * 1000000 + j END), lambda y: y IS NOT NULL)) % 1000000 AS pick
+              FROM edf e, whole w WHERE e.t + 1 < w.d) next),
+    period AS (SELECT pick AS k, t, row_number() OVER (PARTITION BY pick ORDER BY t) - 1 AS i FROM edf WHERE t >= 0),
+    rows AS (SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY
+                    md5(coalesce(CAST(doc_id AS VARCHAR), '')), doc_id) - 1 AS r FROM documents)
+    SELECT doc_id, r.source AS source, r // 64 AS block, (r // 64) // n * (SELECT d FROM whole) + p.t AS slot, r % 64 AS place
+    FROM rows r JOIN shares s ON r.source IS NOT DISTINCT FROM s.source JOIN period p ON p.k = s.k AND p.i = (r // 64) % n"""
+
+
 @query
 def op4_exact_dedup(spark, sf_dir):
     return exact_dedup.find_duplicates(documents(spark, sf_dir))
