@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codesieve.llm import exact_dedup, minhash, mixing, pieces, secrets, url_filters
+from codesieve.llm import exact_dedup, minhash, mixing, pieces, secrets, sharding, url_filters
 from codesieve.llm.common import documents, table
 from codesieve.llm.url_filters import UrlRule
 
@@ -65,6 +65,11 @@ def op5_minhash(spark, sf_dir):
     return minhash.near_duplicates(documents(spark, sf_dir))
 
 
+@query
+def op6_sharding(spark, sf_dir):
+    return sharding.shard_documents(documents(spark, sf_dir))
+
+
 # Rules fixed by the contract.
 URL_RULES = [UrlRule("com", "/", "allow"), UrlRule("example.com", "/en/", "block"),
              UrlRule("www.example.com", "/en/", "allow"), UrlRule("net", "/es/", "block"),
