@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codesieve.llm import exact_dedup, minhash, mixing, pieces, secrets, sharding, url_filters
+from codesieve.llm import exact_dedup, minhash, mixing, pieces, secrets, sharding, toxicity, url_filters
 from codesieve.llm.common import documents, table
 from codesieve.llm.url_filters import UrlRule
 
@@ -47,6 +47,28 @@ ORACLE["op2_mix_sources"] = """
     FROM rows r JOIN shares s ON r.source IS NOT DISTINCT FROM s.source JOIN period p ON p.k = s.k AND p.i = (r // 64) % n"""
 
 
+TOXIC_FROM = 0.7
+
+
+def remainder(divisor: int, column: str = "doc_id"):
+    """The contract's split: CRC-32 of the id as text, modulo."""
+    return F.crc32(F.col(column).cast("string")) % divisor
+
+
+def toxicity_machine(spark, docs, sf_dir):
+    """Machine that has seen no label of a held-out document."""
+    labels = table(spark, sf_dir, "labels").where(remainder(3) != 1)
+    return toxicity.fit(docs, labels)
+
+
+@query
+def op3_toxicity(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    scored = toxicity.score(docs, toxicity_machine(spark, docs, sf_dir))
+    return scored.select("doc_id", F.coalesce(remainder(3) == 1, F.lit(False)).alias("held_out"), "score",
+                         (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"), "worst")
+
+
 @query
 def op4_exact_dedup(spark, sf_dir):
     return exact_dedup.find_duplicates(documents(spark, sf_dir))
