@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codesieve.llm import exact_dedup, minhash, mixing, pieces, secrets, sharding, toxicity, url_filters
+from codesieve.llm import exact_dedup, languages, minhash, mixing, pieces, secrets, sharding, toxicity, url_filters
 from codesieve.llm.common import documents, table
 from codesieve.llm.url_filters import UrlRule
 
@@ -125,6 +125,14 @@ def op8_secret_scans(spark, sf_dir):
     return found.withColumn("base_sha256", F.sha2("base_spans", 256)).drop("base_spans")
 
 
+@query
+def op9_language_id(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    profiles = languages.fit(docs.where(remainder(4) != 2))
+    found = languages.identify(docs, profiles)
+    return found.withColumn("held_out", F.coalesce(remainder(4) == 2, F.lit(False)))
+
+
 @query
 def op10_sentencepiece(spark, sf_dir):
     model = public_tokenizers.path("piece_bpe_32k.model")
