@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codesieve.llm import exact_dedup, languages, minhash, mixing, pieces, secrets, sharding, toxicity, url_filters
+from codesieve.llm import exact_dedup, hnsw, languages, minhash, mixing, pieces, secrets, sharding, toxicity, url_filters
 from codesieve.llm.common import documents, table
 from codesieve.llm.url_filters import UrlRule
 
@@ -21,6 +21,12 @@ def query(function):
     return function
 
 
+@query
+def op1_hnsw(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    return hnsw.nearest_neighbours(vectors, vectors.where("vec_id % 100 = 0"))
+
+
 @query
 def op2_mix_sources(spark, sf_dir):
     return mixing.mix(documents(spark, sf_dir))
