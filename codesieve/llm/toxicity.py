@@ -345,17 +345,34 @@ def score(df: DataFrame, machine: Machine, id_column: str = "doc_id", text_colum
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = _Known(machine)
-        nothing = float(machine.score(np.array([machine.offset]))[0])
         for batch in batches:
             for at in range(0, len(batch), 256):
                 part = batch.iloc[at:at + 256]
-                texts = [set(units(text)) for text in part["text"]]
-                values = known.of(texts)
-                worst = [max(text, key=values.__getitem__) if text else None for text in texts]
-                scores = machine.score(np.array([values[w] if w else np.nan for w in worst], dtype=float))
-                yield pd.DataFrame({"id": part["id"].to_numpy(), "score": np.where(np.isnan(scores), nothing, scores),
-                                    "worst": worst})
+                scores, worst = _scores([set(units(text)) for text in part["text"]], machine, known)
+                yield pd.DataFrame({"id": part["id"].to_numpy(), "score": scores, "worst": worst})
 
     if machine.table is None:
         return df.select(F.col(id_column), F.lit(machine.prior).alias("score"), F.lit(None).cast("string").alias("worst"))
     return rows.mapInPandas(run, f"id {kind}, score double, worst string").withColumnRenamed("id", id_column)
+
+
+def without_toxic(df: DataFrame, machine: Machine, least: float, text_column: str = "text") -> DataFrame:
+    """Rows of ``df`` whose text scores below ``least``; columns as they are, no shuffle."""
+    if machine.table is None:
+        return df if machine.prior < least else df.limit(0)
+
+    @F.pandas_udf("double")
+    def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        known = _Known(machine)
+        for batch in batches:
+            yield pd.Series(np.concatenate([_scores([set(units(t)) for t in batch.iloc[at:at + 256]], machine, known)[0]
+                                            for at in range(0, len(batch), 256)] or [np.zeros(0)]))
+
+    return df.where(scored(F.coalesce(F.col(text_column).cast("string"), F.lit(""))) < least)
+
+
+def _scores(texts: list[set[str]], machine: Machine, known: _Known) -> tuple[np.ndarray, list[str | None]]:
+    """Scores of texts given as their units, and the worst unit of each."""
+    values = known.of(texts)
+    worst = [max(text, key=values.__getitem__) if text else None for text in texts]
+    return machine.score(np.array([values[w] if w else machine.offset for w in worst])), worst
