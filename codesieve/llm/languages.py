@@ -2,8 +2,8 @@
 
 A word's script leaves only the languages that were learned with letters of that script.  Its score in each of them
 is the sum of its letter triples' log-probabilities.  Viterbi over the words, with a penalty for each change of
-language, labels the spans.  A text whose words never favour another language by more than the penalty needs no
-search: the constant path is then the best one.
+language, labels the spans.  A text in which no run of words favours another language by more than half the penalty
+needs no search: the constant path is then the best one.
 """
 
 from __future__ import annotations
@@ -103,7 +103,7 @@ def viterbi(scores: np.ndarray, penalty: float) -> np.ndarray:
     best = int(total.argmax())
     gain = np.cumsum(scores - scores[:, best:best + 1], axis=0)
     lowest = np.minimum.accumulate(np.vstack([np.zeros((1, scores.shape[1])), gain[:-1]]), axis=0)
-    if (gain - lowest).max() <= penalty:
+    if (gain - lowest).max() <= penalty / 2:  # half: a path may have one change less than it has spans
         return np.full(len(scores), best)
     rows, (count, width) = scores.tolist(), scores.shape
     value, back = rows[0], []

@@ -1,0 +1,136 @@
+import random
+from collections import defaultdict
+
+import numpy as np
+import pandas as pd
+
+from codesieve.llm import minhash
+from codesieve.llm.components import connected_components
+
+
+def shingles(text):
+    words = (text or "").encode().lower().split()
+    if len(words) < 5:
+        return {tuple(words)} if words else set()
+    return {tuple(words[i:i + 5]) for i in range(len(words) - 4)}
+
+
+def brute(rows):
+    """Component of each id, by all pairs."""
+    sets = [(i, shingles(t)) for i, t in rows]
+    parent = {i: i for i, _ in rows}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for n, (i, a) in enumerate(sets):
+        for j, b in sets[:n]:
+            if a and b and 100 * len(a & b) >= 75 * len(a | b):
+                x, y = root(i), root(j)
+                parent[max(x, y)] = min(x, y)
+    return {i: (len(s), root(i)) for i, s in sets}
+
+
+def corpus(seed, bases=12, copies=8, words=60):
+    """Texts with edited copies of all degrees, a chain, and a passage that many share."""
+    random.seed(seed)
+    word = lambda: "".join(random.choice("abcdefgh") for _ in range(4))
+    passage = [word() for _ in range(25)]
+    texts = []
+    for _ in range(bases):
+        base = [word() for _ in range(random.randint(20, words))]
+        if random.random() < 0.5:
+            base += passage
+        for _ in range(random.randint(1, copies)):
+            edited = list(base)
+            for _ in range(random.choice([0, 0, 1, 1, 2, 3, 5])):
+                edited[random.randrange(len(edited))] = word()
+            texts.append(" ".join(edited))
+    chain = [word() for _ in range(80)]
+    for _ in range(10):
+        chain = chain[2:] + [word(), word()]
+        texts.append(" ".join(chain))
+    texts += ["one two", "ONE  two", "one two three", None, "", "  \n", "É a b c d", "é a b c d"]
+    ids = random.sample(range(1000), len(texts))
+    return list(zip(ids, texts, strict=True))
+
+
+def test_against_all_pairs(docs):
+    rows = corpus(1)
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in minhash.near_duplicates(docs(*rows)).collect()}
+    assert got == {i: (n, c, i == c) for i, (n, c) in brute(rows).items()}
+
+
+def test_blocks_and_rounds(docs, monkeypatch):
+    monkeypatch.setattr(minhash, "BLOCK", 3)
+    monkeypatch.setattr(minhash, "PAIRS_AT_ONCE", (1, None))
+    rows = corpus(3, bases=4, copies=20)
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(docs(*rows)).collect()}
+    assert got == {i: c for i, (_, c) in brute(rows).items()}
+
+
+def test_edge_cases(docs):
+    text = "a b c d e f g h"
+    rows = minhash.near_duplicates(docs((5, text), (5, text), (None, text), (7, text), (8, None))).collect()
+    assert sorted(map(tuple, rows), key=str) == sorted(
+        [(5, 4, 5, True), (5, 4, 5, True), (None, 4, None, True), (7, 4, 5, False), (8, 0, 8, True)], key=str)
+    assert minhash.near_duplicates(docs((1, "a")).limit(0)).collect() == []
+
+
+def test_dropping_keeps_columns(docs):
+    text = "a b c d e f g h"
+    df = docs((5, text), (6, text), (None, text), (8, "z"), (9, None))
+    kept = minhash.drop_near_duplicates(df)
+    assert kept.columns == df.columns
+    assert sorted((r.doc_id for r in kept.collect()), key=str) == sorted([5, None, 8, 9], key=str)
+
+
+def test_long_text_minima_equal_those_of_its_parts():
+    found = minhash.shingle_set(" ".join(map(str, range(30_000))))
+    assert len(found) == 29_996
+    whole = minhash.minima(found)
+    assert (whole == np.minimum(minhash.minima(found[:9000]), minhash.minima(found[9000:]))).all()
+
+
+def test_signatures_estimate_similarity():
+    random.seed(9)
+    pool = [f"w{i}" for i in range(3000)]
+    a, b = set(random.sample(pool, 1500)), set(random.sample(pool, 1500))
+    x, y = (minhash.minima(np.array([hash((v, 1)) & (2**64 - 1) for v in s], dtype=np.uint64)) for s in (a, b))
+    assert abs((x == y).mean() - len(a & b) / len(a | b)) < 0.15
+
+
+def test_block_pairs_hold_back_and_report():
+    signature = np.zeros(minhash.HASHES, dtype=np.uint8).tobytes()
+    rows = pd.DataFrame({"bucket": 1, "i": 0, "j": 0, "side": 2, "node": range(6), "band": 0,
+                         "component": [0, 0, 0, 3, 3, 3], "signature": [signature] * 6})
+    some = minhash._block_pairs(rows, 2)
+    assert len(some) == 2 and some["more"].all()
+    every = minhash._block_pairs(rows, None)
+    assert len(every) == 9 and not every["more"].any()
+
+
+def test_components(spark):
+    random.seed(11)
+    pairs = [(random.randrange(300), random.randrange(300)) for _ in range(220)] + [(0, i) for i in range(400, 460)]
+    pairs += [(i, i + 1) for i in range(500, 560)] + [(7, 7), (None, 3), (5, None)]
+    near = defaultdict(set)
+    for a, b in pairs:
+        if a is not None and b is not None and a != b:
+            near[a].add(b)
+            near[b].add(a)
+    want, seen = {}, set()
+    for start in sorted(near):
+        if start not in seen:
+            stack, group = [start], {start}
+            while stack:
+                for n in near[stack.pop()] - group:
+                    group.add(n)
+                    stack.append(n)
+            seen |= group
+            want |= {n: min(group) for n in group}
+    got = connected_components(spark.createDataFrame(pairs, "x long, y long")).collect()
+    assert len(got) == len(want) and {r.node: r.component for r in got} == want
+    assert connected_components(spark.createDataFrame([], "x long, y long")).collect() == []
