@@ -93,14 +93,13 @@ VIEWS: dict[str, str] = {
 }
 
 # Text-heavy or costly to expand, and stored as one row group.
-SPREAD = ("documents", "lineitem", "conversations")
 INPUTS = ("customer", "orders", "documents", "part", "lineitem", "pages", "events", "conversations", "nation")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table or one of the views."""
     if name not in VIEWS:
-        return read_table(spark, f"{sf_dir.rstrip('/')}/{name}.parquet", spread=name in SPREAD)
+        return read_table(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
     text = VIEWS[name]
     inputs = {ref: table(spark, sf_dir, ref) for ref in (*INPUTS, *VIEWS) if "{" + ref + "}" in text}
     return spark.sql(text, **inputs)

@@ -36,7 +36,7 @@ def top_per_repository(rows: DataFrame, cap: int = C.SAST_CAP) -> DataFrame:
     with very many flaws costs no more than one with ``cap`` per task.
     """
     order = Window.partitionBy("repo").orderBy(
-        F.desc(F.coalesce("severity", F.lit(0))), F.try_to_number("cwe_id", F.lit("999999")).cast("int"),
+        F.desc(F.coalesce("severity", F.lit(0))), F.col("cwe_id").try_cast("long"),
         "scan_file", "pos")
     return rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= cap)
 

@@ -7,7 +7,6 @@ vulnerability_type and severity_score and may override the file's language, cwe
 from __future__ import annotations
 
 import json
-import re
 from collections.abc import Iterator
 from functools import reduce
 from operator import and_
@@ -15,31 +14,23 @@ from operator import and_
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType
-
-REQUIRED = ["id", "name", "regex", "vulnerability_type", "severity_score"]
 
+from codesieve.sources.rules import JAVA_SPELLING_SQL
 
-# The functions for Python workers are nested, so that they travel by value and the workers need not have this
-# package installed.
+REQUIRED = ["id", "name", "regex", "vulnerability_type", "severity_score"]
 
 
 def regex_compiles(regex: Column) -> Column:
-    """True where the regex is valid."""
+    """True where the regex, spelled as the scan spells it, is one for the JVM, which runs it."""
+    spelled = regex
+    for pattern, replacement in JAVA_SPELLING_SQL:
+        spelled = F.regexp_replace(spelled, F.lit(pattern), F.lit(replacement))
+    compiled = F.try_reflect(F.lit("java.util.regex.Pattern"), F.lit("compile"), F.concat(F.lit("(?d)"), spelled))
+    return regex.isNotNull() & compiled.isNotNull()
 
-    def valid(text: str | None) -> bool:
-        if text is None:
-            return False
-        try:
-            re.compile(text)
-        except (re.error, RecursionError, OverflowError):
-            return False
-        return True
-
-    def compiles(texts: pd.Series) -> pd.Series:
-        return texts.map(valid)
 
-    return F.pandas_udf(compiles, BooleanType())(regex)
+# The function for Python workers is nested, so that it travels by value and the workers need not have this
+# package installed.
 
 
 def _yaml_as_json(texts: DataFrame) -> DataFrame:
@@ -79,8 +70,14 @@ def pack_entries(documents: DataFrame) -> DataFrame:
         "source_file", F.posexplode("d.patterns").alias("position", "text"),
         F.col("d.language").alias("file_language"), F.col("d.cwe_id").alias("file_cwe"),
         F.col("d.cwe_name").alias("file_cwe_name"))
+    score = F.try_variant_get(F.try_parse_json("text"), "$.severity_score", "variant")
+    kind = F.schema_of_variant(score)
+    number = F.try_variant_get(score, "$", "double")
     return rows.withColumn(
-        "entry", F.when(F.ltrim("text").startswith("{"), F.from_json("text", "map<string,string>"))).drop("text")
+        "entry", F.when(F.ltrim("text").startswith("{"), F.from_json("text", "map<string,string>"))).withColumn(
+        # A number is cut to its whole part and true is 1; text is left to the validation.
+        "severity_number", F.when(kind == "BOOLEAN", F.try_variant_get(score, "$", "boolean").cast("int")).when(
+            kind != "STRING", F.when(number < 0, F.ceil(number)).otherwise(F.floor(number)).try_cast("int"))).drop("text")
 
 
 def validate_entries(entries: DataFrame, regex_ok: Column | None = None) -> DataFrame:
@@ -97,7 +94,10 @@ def validate_entries(entries: DataFrame, regex_ok: Column | None = None) -> Data
         return F.coalesce(F.when(F.map_contains_key(entry, name), value), default, F.lit(""))
 
     has_all = reduce(and_, [F.map_contains_key(entry, name) for name in REQUIRED])
-    severity = F.try_to_number(F.trim(field("severity_score")), F.lit("S999999999")).cast("int")
+    text = F.trim(field("severity_score"))
+    severity = F.when(text.rlike(r"^[+-]?[0-9]+$"), text.try_cast("int"))
+    if "severity_number" in entries.columns:
+        severity = F.coalesce("severity_number", severity)
     compiles = regex_compiles(field("regex")) if regex_ok is None else regex_ok
     columns = entries.select(
         *[c for c in ("source_file", "position") if c in entries.columns],

@@ -54,23 +54,39 @@ def root_file_signals(files: DataFrame) -> DataFrame:
 
 
 def read_sast_results(spark: SparkSession, root: str, folder: str = "*", names: str = "filtered_*.json") -> DataFrame:
-    """(project, scan_file, findings) of result files ``root/<project>/<folder>/<names>``; unreadable files are skipped."""
-    schema = schemas.SAST_RESULT + ", _corrupt string"
-    rows = (
-        spark.read.schema(schema).option("multiLine", "true").option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", "_corrupt").json(f"{root.rstrip('/')}/*/{folder}/{names}")
-    )
-    path = F.col("_metadata.file_path")
-    return rows.where(F.col("_corrupt").isNull()).select(
-        F.element_at(F.split(path, "/"), -3).alias("project"), F.col("_metadata.file_name").alias("scan_file"),
-        F.coalesce("findings", F.array().cast(_findings_type())).alias("findings"))
+    """(project, scan_file, findings) of result files ``root/<project>/<folder>/<names>``.
+
+    Only files that are no JSON are skipped; a field of another type is converted or becomes null.
+    """
+    rows = spark.read.text(f"{root.rstrip('/')}/*/{folder}/{names}", wholetext=True)
+
+    def decoded(name: Column) -> Column:  # the listed path is URL-encoded; a plus sign stands for itself
+        return F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
+
+    path = decoded(F.col("_metadata.file_path"))
+    return parse_sast_results(rows.where(F.try_parse_json("value").isNotNull()).select(
+        F.element_at(F.split(path, "/"), -3).alias("project"), decoded(F.col("_metadata.file_name")).alias("scan_file"),
+        "value"))
 
 
 def parse_sast_results(documents: DataFrame) -> DataFrame:
     """The same for result documents held in a column ``value`` (with project and scan_file)."""
-    parsed = documents.select("project", "scan_file", F.from_json("value", schemas.SAST_RESULT).alias("d"))
+    loose = F.from_json("value", _as_text(schemas.SAST_RESULT))  # numbers may come as text
+    parsed = documents.select("project", "scan_file", loose.alias("d"))
+    typed = F.transform("d.findings", lambda flaw: F.struct(
+        flaw["issue_id"].try_cast("long").alias("issue_id"), flaw["cwe_id"].alias("cwe_id"),
+        flaw["issue_type"].alias("issue_type"), flaw["severity"].try_cast("int").alias("severity"),
+        F.struct(F.struct(flaw["files"]["source_file"]["file"].alias("file"),
+                          flaw["files"]["source_file"]["line"].try_cast("int").alias("line"))
+                 .alias("source_file")).alias("files"),
+        *[flaw[name].alias(name) for name in ("display_text", "flaw_details", "description", "cwename", "stack_dumps")]))
     return parsed.select(
-        "project", "scan_file", F.coalesce("d.findings", F.array().cast(_findings_type())).alias("findings"))
+        "project", "scan_file", F.coalesce(typed, F.array()).cast(_findings_type()).alias("findings"))
+
+
+def _as_text(schema: str) -> str:
+    """A schema whose numbers are read as text."""
+    return schema.replace(":bigint", ":string").replace(":int", ":string")
 
 
 def _findings_type() -> str:
@@ -78,10 +94,15 @@ def _findings_type() -> str:
 
 
 def read_repo_report(spark: SparkSession, path: str, array: bool = False) -> DataFrame:
-    """Rows of a repository report, JSON lines or (``array``) one JSON array; bad rows are left out."""
-    reader = spark.read.schema(schemas.REPO_REPORT).option("mode", "DROPMALFORMED")
-    rows = (reader.option("multiLine", "true") if array else reader).json(path)
-    return rows.where(F.length("repository_name") > 0)
+    """Rows of a repository report, JSON lines or (``array``) one JSON array.
+
+    Rows without a name are left out; a number that comes as text is converted, one that is none becomes null.
+    """
+    text = schemas.REPO_REPORT.replace(" int", " string").replace(" bigint", " string")
+    reader = spark.read.schema(text).option("mode", "PERMISSIVE")
+    rows = (reader.option("multiLine", "true") if array else reader).json(path).where(F.length("repository_name") > 0)
+    numbers = {"top_score": "int", "finding_count": "long"}
+    return rows.select(*[F.col(c).try_cast(numbers[c]).alias(c) if c in numbers else F.col(c) for c in rows.columns])
 
 
 def decode_repositories(rows: DataFrame) -> DataFrame:

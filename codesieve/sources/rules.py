@@ -41,12 +41,39 @@ class Rule:
         ``whole_text`` lets ``^`` and ``$`` match at every line; for a single line they need no help (and Java
         would not let ``^`` match an empty one).  ``unicode`` widens ``\\w``, ``\\s``, ``\\b`` beyond ASCII.
         """
-        body = self.regex.replace("(?P<", "(?<")
-        body = re.sub(r"\(\?P=(\w+)\)", r"\\k<\1>", body)
+        body = self.regex
+        for pattern, replacement in JAVA_SPELLING:
+            body = re.sub(pattern, replacement, body)
         flags = "d" + ("m" if whole_text else "") + ("U" if unicode else "")
         return f"(?{flags}){body}"
 
 
+# How Java spells what packs write otherwise, as (regex, replacement with $1): comments are left out, and group
+# names too, which Java wants without underscores; groups keep their numbers.  A name that is referred to stays.
+JAVA_SPELLING_SQL = [(r"\(\?#[^)]*\)", ""), (r"\(\?P<\w+>(?!.*\(\?P=)", "("), (r"\(\?P<(\w+)>", "(?<$1>"),
+                     (r"\(\?P=(\w+)\)", r"\\k<$1>")]
+JAVA_SPELLING = [(pattern, replacement.replace("$1", r"\1")) for pattern, replacement in JAVA_SPELLING_SQL]
+
+
+def reads_differently(regex: str) -> bool:
+    """True if Java may read a character class of ``regex`` otherwise than the parser here: nested or intersected."""
+    inside, i = False, 0
+    while i < len(regex):
+        char = regex[i]
+        if char == "\\":
+            i += 1
+        elif inside:
+            if char == "[" or regex.startswith("&&", i):
+                return True
+            inside = char != "]"
+        elif char == "[":
+            inside = True
+            i += regex.startswith("[^", i)
+            i += regex.startswith("]", i + 1)
+        i += 1
+    return False
+
+
 # A literal this long is selective on its own; shorter ones are combined with up to two more.
 _SELECTIVE = 3
 # Largest character class that is worth testing one character at a time.
@@ -58,6 +85,8 @@ def required_texts(regex: str, unicode: bool = False) -> tuple[tuple[frozenset[s
 
     A wrong literal would lose findings, so whatever is not plainly understood contributes none.
     """
+    if reads_differently(regex):
+        return (), False
     try:
         tree = regex_tree.parse(regex)
     except (re.error, RecursionError, OverflowError):
@@ -95,6 +124,26 @@ def _changes_case(tree: Iterable) -> bool:
     return False
 
 
+def spans_lines(regex: str) -> bool:
+    """True if ``regex`` asks for a newline, so that single lines cannot show all its matches."""
+    try:
+        return _has_newline(regex_tree.parse(regex))
+    except (re.error, RecursionError, OverflowError):
+        return r"\n" in regex
+
+
+def _has_newline(tree: Iterable) -> bool:
+    for op, arg in tree:
+        if op is ops.LITERAL and arg == 10:
+            return True
+        if op is ops.IN and arg[0][0] is not ops.NEGATE and (ops.LITERAL, 10) in arg:
+            return True
+        children = [arg[3]] if op is ops.SUBPATTERN else arg[1] if op is ops.BRANCH else [arg[2]] if op in _REPEATS else []
+        if any(_has_newline(child) for child in children):
+            return True
+    return False
+
+
 _REPEATS = {ops.MAX_REPEAT, ops.MIN_REPEAT, getattr(ops, "POSSESSIVE_REPEAT", ops.MAX_REPEAT)}
 _ZERO_WIDTH = {ops.AT, ops.ASSERT, ops.ASSERT_NOT}
 

@@ -18,15 +18,20 @@ def write_repo_report(report: DataFrame, path: str, clone_dir: str) -> None:
 
 
 def write_combined_results(combined: DataFrame, path: str) -> None:
-    """One document per repository, filed under its name."""
-    combined.withColumn("repository", F.col("repo")).write.mode("overwrite").partitionBy("repository").json(path)
+    """One document per repository, filed under its name: one file each, whatever the number of tasks."""
+    combined.withColumn("repository", F.col("repo")).repartition("repository").write.mode("overwrite").partitionBy(
+        "repository").json(path)
 
 
-def write_high_severity_summary(projects: DataFrame, findings: DataFrame, path: str) -> None:
-    """Project rows under ``projects`` and their flaws under ``findings``, filed by project."""
+def write_high_severity_summary(projects: DataFrame, findings: DataFrame, path: str, parts: int = 4) -> None:
+    """Project rows under ``projects`` and their flaws under ``findings``, filed by project in at most ``parts`` files.
+
+    A project's flaws are dealt to its files by a hash, so that a hot project is not written by one task.
+    """
     projects.write.mode("overwrite").json(f"{path}/projects")
-    findings.withColumn("project_dir", F.col("project")).write.mode("overwrite").partitionBy("project_dir").json(
-        f"{path}/findings")
+    part = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in findings.columns]), F.lit(parts))
+    findings.withColumn("project_dir", F.col("project")).repartition("project_dir", part).write.mode(
+        "overwrite").partitionBy("project_dir").json(f"{path}/findings")
 
 
 def write_triage_report(verdicts: DataFrame, path: str) -> None:

@@ -5,13 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-def read_table(spark: SparkSession, path: str, spread: bool = False) -> DataFrame:
-    """A Parquet table.
-
-    ``spread`` redistributes the rows if the table has fewer splits than the cluster has slots, so that a few
-    large row groups of text do not keep most of the cluster idle.  A large table has more splits than slots
-    and stays where it is.  The decision needs the plain scan's split count only; nothing is executed.
-    """
-    table = spark.read.parquet(path)
-    slots = spark.sparkContext.defaultParallelism
-    return table.repartition(slots) if spread and table.rdd.getNumPartitions() < slots else table
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """A Parquet table.  How many tasks read it is set by ``spark.sql.files.maxPartitionBytes`` and its row groups."""
+    return spark.read.parquet(path)
