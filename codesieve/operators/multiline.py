@@ -10,8 +10,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from codesieve.functions.text import line_count, raw_lines, window_text
-from codesieve.operators.scan import _as_findings, matches, rules_by_language
-from codesieve.sources.rules import Rule
+from codesieve.operators.scan import _as_findings, matches, rules_by_language, scan_lines
+from codesieve.sources.rules import Rule, spans_lines
 
 OPEN, CLOSE = "\u0001", "\u0002"
 
@@ -19,32 +19,24 @@ OPEN, CLOSE = "\u0001", "\u0002"
 def match_spans(content: Column, regex: str) -> Column:
     """Array of (first, last) line numbers of all matches of ``regex`` in a text, in text order.
 
-    Every match is put between two control characters; counting the newlines before and inside each pair gives
-    its lines.  Control characters already in the text are replaced first.
+    Every match is put between two control characters.  The text is then cut into lines, whose places in the array
+    are their numbers: the lines of all opening and of all closing characters, in order, are the spans.  The work
+    grows with the text and the number of matches.  Control characters already in the text are replaced first.
     """
-    clean = F.translate(content, OPEN + CLOSE, "��")
-    parts = F.split(F.regexp_replace(clean, F.lit(regex), F.lit(f"{OPEN}$0{CLOSE}")), OPEN, -1)
+    clean = F.translate(content, OPEN + CLOSE, "\ufffd\ufffd")
+    marked = F.split(F.regexp_replace(clean, F.lit(regex), F.lit(f"{OPEN}$0{CLOSE}")), "\n", -1)
 
-    def newlines(text: Column) -> Column:
-        return F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit("")))
+    def count(line: Column, char: str) -> Column:
+        return F.length(line) - F.length(F.replace(line, F.lit(char), F.lit("")))
 
-    start = F.struct(
-        F.lit(1).alias("line"), F.lit(False).alias("inside"),
-        F.array().cast("array<struct<first:int,last:int>>").alias("spans"),
-    )
-
-    def step(state: Column, part: Column) -> Column:
-        matched = F.substring_index(part, CLOSE, 1)
+    def closed(line: Column, i: Column) -> Column:
         # A match that ends with the newline itself still ends on the line before.
-        last = state["line"] + newlines(matched) - F.when(F.endswith(matched, F.lit("\n")), 1).otherwise(0)
-        span = F.struct(state["line"].alias("first"), last.alias("last"))
-        return F.struct(
-            (state["line"] + newlines(part)).alias("line"),
-            F.lit(True).alias("inside"),
-            F.when(state["inside"], F.concat(state["spans"], F.array(span))).otherwise(state["spans"]).alias("spans"),
-        )
+        before = F.startswith(line, F.lit(CLOSE)).cast("int")
+        return F.concat(F.array_repeat(i, before), F.array_repeat(i + 1, count(line, CLOSE) - before))
 
-    return F.aggregate(parts, start, step, lambda state: state["spans"])
+    first = F.flatten(F.transform(marked, lambda line, i: F.array_repeat(i + 1, count(line, OPEN))))
+    last = F.flatten(F.transform(marked, closed))
+    return F.zip_with(first, last, lambda a, b: F.struct(a.alias("first"), b.alias("last")))
 
 
 def scan_texts(
@@ -102,29 +94,36 @@ def scan_texts(
 def first_spans(hits: Column) -> Column:
     """One span per (rule, first line): the longest of those that start on the same line.
 
-    ``hits`` holds the spans of each rule in text order, so that equal starts are neighbours.
+    ``hits`` holds the spans of each rule in text order, so that equal starts are neighbours and the last is longest.
     """
-    return _fold(hits, lambda top, hit: (top["rule"] == hit["rule"]) & (top["first"] == hit["first"]))
+    return _runs(hits, lambda before, hit: (before["rule"] == hit["rule"]) & (before["first"] == hit["first"]))
 
 
 def merged_spans(hits: Column) -> Column:
     """Spans of the same rule on the same or on touching lines become one."""
-    return _fold(hits, lambda top, hit: (top["rule"] == hit["rule"]) & (hit["first"] <= top["last"] + 1))
+    return _runs(hits, lambda before, hit: (before["rule"] == hit["rule"]) & (hit["first"] <= before["last"] + 1))
+
 
+def _runs(hits: Column, joins) -> Column:
+    """Neighbouring spans for which ``joins(previous, span)`` holds become one; ends never go back in a run."""
+    def near(a: Column, b: Column) -> Column:
+        return F.coalesce(joins(a, b), F.lit(False))
 
-def _fold(hits: Column, joins) -> Column:
-    """Left fold over the spans: a span for which ``joins(previous, span)`` holds extends the previous one."""
+    heads = F.filter(hits, lambda hit, i: ~near(F.get(hits, i - 1), hit))
+    tails = F.filter(hits, lambda hit, i: ~near(hit, F.get(hits, i + 1)))
+    return F.zip_with(heads, tails, lambda a, b: F.struct(
+        a["rule"].alias("rule"), a["first"].alias("first"), b["last"].alias("last")))
 
-    def step(done: Column, hit: Column) -> Column:
-        top = F.get(done, F.size(done) - 1)
-        longer = F.struct(top["rule"].alias("rule"), top["first"].alias("first"),
-                          F.greatest(top["last"], hit["last"]).alias("last"))
-        return F.when(
-            F.coalesce(joins(top, hit), F.lit(False)),
-            F.concat(F.slice(done, F.lit(1), F.size(done) - 1), F.array(longer)),
-        ).otherwise(F.concat(done, F.array(hit)))
 
-    return F.aggregate(hits, F.array().cast("array<struct<rule:int,first:int,last:int>>"), step)
+def scan_files(files: DataFrame, rules: Sequence[Rule], *, context: int | None = None, unicode: bool = False,
+               strict: bool = False) -> DataFrame:
+    """All rules: those that ask for a newline over whole texts, the others line by line."""
+    whole = [rule for rule in rules if spans_lines(rule.regex)]
+    found = scan_lines(files, [rule for rule in rules if rule not in whole], context=context, unicode=unicode,
+                       strict=strict)
+    if not whole:
+        return found
+    return found.unionByName(scan_texts(files, whole, context=context, unicode=unicode, strict=strict))
 
 
 def merge_adjacent(findings: DataFrame) -> DataFrame:

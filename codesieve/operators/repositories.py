@@ -14,12 +14,15 @@ from codesieve.functions.scoring import repository_score
 
 
 def reject_reason(min_stars: int = C.MIN_STARS, max_size_mb: int = C.MAX_REPO_SIZE_MB) -> Column:
-    """First reason to drop a repository, null if it is kept.  Values equal to a bound are kept."""
+    """First reason to drop a repository, null if it is kept.  Values equal to a bound are kept.
+
+    Missing stars and sizes count as 0, a missing flag or name as none.
+    """
     noise = "|".join(C.NOISE_NAMES)
     return (
         F.when(F.col("archived"), "archived")
-        .when(F.col("stars") < min_stars, "stars")
-        .when(F.col("size_mb") > max_size_mb, "size")
+        .when(F.coalesce("stars", F.lit(0)) < min_stars, "stars")
+        .when(F.coalesce("size_mb", F.lit(0)) > max_size_mb, "size")
         .when(F.lower("name").rlike(noise), "name")
     )
 
@@ -27,11 +30,11 @@ def reject_reason(min_stars: int = C.MIN_STARS, max_size_mb: int = C.MAX_REPO_SI
 def keep_repositories(repositories: DataFrame, min_stars: int = C.MIN_STARS,
                       max_size_mb: int = C.MAX_REPO_SIZE_MB) -> DataFrame:
     """Repositories worth scanning."""
-    noise = "|".join(C.NOISE_NAMES)
-    # Written as plain conjuncts so that the comparisons reach the Parquet scan.
+    # The plain comparisons say nothing new but reach the Parquet scan.
+    stars, size = F.col("stars"), F.col("size_mb")
     return repositories.where(
-        ~F.coalesce(F.col("archived"), F.lit(False)) & (F.col("stars") >= min_stars) & (F.col("size_mb") <= max_size_mb)
-        & ~F.lower("name").rlike(noise))
+        (stars.isNull() | (stars >= min_stars)) & (size.isNull() | (size <= max_size_mb))
+        & reject_reason(min_stars, max_size_mb).isNull())
 
 
 def filter_stats(repositories: DataFrame, min_stars: int = C.MIN_STARS,

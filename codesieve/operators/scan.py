@@ -66,24 +66,23 @@ def _by_language(groups: dict[str, list[int]], language: Column, build) -> Colum
     return case.otherwise(default)
 
 
-# Packs with more rules than this test their literals in a loop over an array: a little slower, but the
-# generated method stays small.
-LOOP = 400
+def _contains_any(text: Column, texts: Iterable[str]) -> Column:
+    """True where ``text`` contains one of ``texts``."""
+    return _any([F.contains(text, F.lit(t)) for t in sorted(_shortest(texts))])
 
 
-def _contains_any(text: Column, texts: Iterable[str], loop: bool = False) -> Column:
-    """True where ``text`` contains one of ``texts``."""
-    literals = [F.lit(t) for t in sorted(_shortest(texts))]
-    if loop and len(literals) > 1:
-        return F.exists(F.array(*literals), lambda t: F.contains(text, t))
-    return reduce(or_, [F.contains(text, t) for t in literals])
+def _any(tests: list[Column]) -> Column:
+    """Disjunction as a balanced tree: its depth grows with the logarithm of the number of tests."""
+    while len(tests) > 1:
+        tests = [reduce(or_, tests[i:i + 2]) for i in range(0, len(tests), 2)]
+    return tests[0]
 
 
-def _holds(text: Column, needles: tuple[tuple[frozenset[str], ...], bool], loop: bool = False) -> Column | None:
+def _holds(text: Column, needles: tuple[tuple[frozenset[str], ...], bool]) -> Column | None:
     """Substring tests for literal requirements; None if there are none."""
     groups, ignore_case = needles
     haystack = F.lower(text) if ignore_case else text
-    return reduce(and_, [_contains_any(haystack, group, loop) for group in groups]) if groups else None
+    return reduce(and_, [_contains_any(haystack, group) for group in groups]) if groups else None
 
 
 def _shortest(texts: Iterable[str]) -> set[str]:
@@ -92,7 +91,7 @@ def _shortest(texts: Iterable[str]) -> set[str]:
     return {t for t in texts if not any(o != t and o in t for o in texts)}
 
 
-def text_gate(text: Column, rules: Sequence[Rule], unicode: bool = False, loop: bool = False) -> Column:
+def text_gate(text: Column, rules: Sequence[Rule], unicode: bool = False) -> Column:
     """False only where no rule can match ``text``."""
     if not rules:
         return F.lit(False)
@@ -104,9 +103,9 @@ def text_gate(text: Column, rules: Sequence[Rule], unicode: bool = False, loop:
     for ignore_case in (False, True):
         single = [groups[0] for groups, ic in needles if ic == ignore_case and len(groups) == 1]
         if single:
-            tests.append(_holds(text, ((frozenset().union(*single),), ignore_case), loop))
-    tests += [_holds(text, n, loop) for n in dict.fromkeys(n for n in needles if len(n[0]) > 1)]
-    return reduce(or_, tests)
+            tests.append(_holds(text, ((frozenset().union(*single),), ignore_case)))
+    tests += [_holds(text, n) for n in dict.fromkeys(n for n in needles if len(n[0]) > 1)]
+    return _any(tests)
 
 
 def matches(text: Column, rule: Rule, unicode: bool = False, gate: bool = True, whole_text: bool = False) -> Column:
@@ -160,7 +159,7 @@ def scan_lines(
     def gate_for(value: Column) -> Column:
         return _by_language(
             groups, F.col("language"),
-            lambda positions: text_gate(value, [rules[i] for i in positions], unicode, len(rules) > LOOP))
+            lambda positions: text_gate(value, [rules[i] for i in positions], unicode))
 
     if gate:
         text = text.where(gate_for(F.col("content")))

@@ -25,17 +25,17 @@ def last_per_key(batch: DataFrame, key: str, order: str) -> DataFrame:
 
 
 def upsert_repositories(existing: DataFrame, discovered: DataFrame) -> DataFrame:
-    """Repositories after re-discovery: discovery columns come from the batch, managed ones keep their value.
+    """Repositories after re-discovery: discovery columns come from the batch, nulls too; managed ones keep their value.
 
     ``discovered`` has one row per id (see ``last_per_key``).
     """
     defaults = {"score": 0, "filtered": False, "scored": False, "framework_detected": False}
-    fresh = discovered.select("id", *[F.col(c).alias(f"_{c}") for c in DISCOVERY_COLUMNS])
+    fresh = discovered.select("id", *[F.col(c).alias(f"_{c}") for c in DISCOVERY_COLUMNS], F.lit(True).alias("_hit"))
     joined = existing.join(fresh, "id", "full_outer")
     columns = []
     for name in existing.columns:
         if name in DISCOVERY_COLUMNS:
-            columns.append(F.coalesce(f"_{name}", name).alias(name))
+            columns.append(F.when(F.col("_hit"), F.col(f"_{name}")).otherwise(F.col(name)).alias(name))
         elif name in defaults:
             columns.append(F.coalesce(name, F.lit(defaults[name])).alias(name))
         else:

@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 
 from codesieve import constants as C
 from codesieve.operators.findings import deduplicate, report_rows, review_queue, score_findings
-from codesieve.operators.partitioning import join_hot
+from codesieve.operators.multiline import scan_files
 from codesieve.operators.repositories import detect_frameworks, keep_repositories, score_repositories
-from codesieve.operators.scan import eligible_files, scan_lines
+from codesieve.operators.scan import eligible_files
 from codesieve.operators.tables import not_done
 from codesieve.sources.rules import Rule
 
@@ -29,8 +29,10 @@ class Settings:
     language: str | None = None
     unicode: bool = False
     strict: bool = False
-    # Join file texts with the kept repositories before scanning instead of findings after it.
-    restrict_first: bool = False
+    skip_hidden: bool = False
+    skip_binary: bool = False
+    # Name of the rule pack: repositories done with another pack are not done with this one.
+    pack: str | None = None
 
 
 def prepare_repositories(
@@ -52,21 +54,17 @@ def scan_repositories(
 ) -> DataFrame:
     """Raw findings, with context, of the files of ``repositories`` that are not ``done`` yet (all with ``force``).
 
-    Matching costs more than moving text, so an incremental run leaves the texts of finished repositories out
-    before it scans.  A full run scans where the texts lie and restricts the (few) findings, unless
-    ``settings.restrict_first`` says that many files belong to rejected repositories.
+    Files of other repositories are left out before any text is matched, by a plain semi join that Spark turns into
+    a broadcast of the ids where they are few.  ``done``: repository_id, and where it has a column ``pack`` only rows
+    of ``settings.pack`` count.
     """
     ids = repositories.select(F.col("id").alias("repository_id"))
-    incremental = done is not None and not force
-    if incremental:
-        ids = not_done(ids, done, "repository_id")
-    chosen = eligible_files(files, settings.ignored_paths)
-    if incremental or settings.restrict_first:
-        chosen = join_hot(chosen, ids, "repository_id", "left_semi", F.xxhash64("file_path"))
-    found = scan_lines(chosen, rules, context=settings.context, unicode=settings.unicode, strict=settings.strict)
-    if incremental or settings.restrict_first:
-        return found
-    return join_hot(found, ids, "repository_id", "left_semi", F.xxhash64("id"))
+    if done is not None and not force:
+        finished = done.where(F.col("pack").eqNullSafe(F.lit(settings.pack))) if "pack" in done.columns else done
+        ids = not_done(ids, finished, "repository_id")
+    chosen = eligible_files(files, settings.ignored_paths, settings.skip_hidden, settings.skip_binary)
+    return scan_files(chosen.join(ids, "repository_id", "left_semi"), rules, context=settings.context,
+                      unicode=settings.unicode, strict=settings.strict)
 
 
 def triage(
@@ -80,10 +78,7 @@ def triage(
     there: findings are scored by type and path and de-duplicated first, and only winners meet the repositories.
     """
     repos = prepare_repositories(repositories, as_of, settings, signals, files)
-    found = (
-        scan_repositories(files, repos, rules, settings) if settings.restrict_first
-        else scan_lines(eligible_files(files, settings.ignored_paths), rules, context=settings.context,
-                        unicode=settings.unicode, strict=settings.strict))
+    found = scan_repositories(files, repos, rules, settings)
     best = deduplicate(score_findings(found))
     queue = review_queue(best, repos) if local_repositories is None else report_rows(best, repos, local_repositories)
     bonus = F.floor(F.col("repo_score") / 10).cast("int")

@@ -11,7 +11,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from codesieve import schemas
 from codesieve.constants import CONTEXT_LINES, IGNORED_PATHS
-from codesieve.operators.scan import eligible_files, scan_lines
+from codesieve.operators.multiline import scan_files
+from codesieve.operators.scan import eligible_files
 from codesieve.operators.tables import insert_ignore
 from codesieve.sources.rules import Rule
 
@@ -28,7 +29,7 @@ def stream_findings(
     files: DataFrame, rules: Sequence[Rule], ignored: Sequence[str] = IGNORED_PATHS, context: int = CONTEXT_LINES
 ) -> DataFrame:
     """Findings of arriving files: the batch scan kernel, narrow and stateless."""
-    return scan_lines(eligible_files(files, ignored), rules, context=context)
+    return scan_files(eligible_files(files, ignored), rules, context=context)
 
 
 BUCKETS = 64
@@ -67,7 +68,9 @@ def _existing(batch: DataFrame, target: str) -> DataFrame | None:
     reader = batch.sparkSession.read.schema(f"{fields}, batch_id bigint, bucket int")
     try:
         return reader.parquet(target)
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
 
 
