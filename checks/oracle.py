@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from checks.views import HYGIENE, PACK, rule_selects, rules_values, view_ctes
+from checks.views import HYGIENE, PACK, SEARCHES, rule_selects, rules_values, view_ctes
 
 NS = "6ba7b8109dad11d180b400c04fd430c8"
 IGNORED = "(^|/)(node_modules|vendor|dist|build|target|migrations)(/|$)"
@@ -233,6 +233,15 @@ ORACLE: dict[str, str] = {
              unnest(range(1, len(a) + 1)) AS t(i))""", """SELECT repository_id, file_path, line_number, line, '' AS path_tags
         FROM lines WHERE regexp_matches(line, '[0-9]{3,}')
         AND repository_id IN (SELECT id FROM repositories WHERE stars > 100)"""),
+    "code_searches": _with((F, R), """lines AS (SELECT repository_id, file_path, language, a[i] AS line, CAST(i AS INTEGER) AS line_number
+        FROM (SELECT repository_id, file_path, language, string_split(content, chr(10)) AS a FROM source_files) s,
+             unnest(range(1, len(a) + 1)) AS t(i))""", " UNION ALL ".join(
+        f"SELECT '{name}' AS search, repository_id, file_path, line_number, line FROM lines WHERE "
+        + (f"contains(line, '{s.regex}')" if s.quoted else f"regexp_matches(line, '{s.regex}')")
+        + (f" AND language = '{s.language}'" if s.language else "")
+        + "".join(f" AND lower(file_path) NOT LIKE '%{word}%'" for word in s.without_paths)
+        + (f" AND repository_id IN (SELECT id FROM repositories WHERE stars > {s.min_stars})" if s.min_stars is not None else "")
+        for name, s in SEARCHES.items())),
     "path_tags": """SELECT page_id, url, concat_ws(',',
         CASE WHEN regexp_matches(lower(url), 'reset|forgot|password') THEN 'account_recovery' END,
         CASE WHEN regexp_matches(lower(url), 'api') THEN 'api' END,

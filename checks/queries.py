@@ -11,7 +11,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.views import AS_OF, HYGIENE, MULTILINE, PACK, table
+from checks.views import AS_OF, HYGIENE, MULTILINE, PACK, SEARCHES, table
 from codesieve import constants as C
 from codesieve.functions import identity, paths, values
 from codesieve.functions.text import lines
@@ -326,6 +326,12 @@ def code_search(spark, sf):
     return hits.withColumn("path_tags", F.array_join("path_tags", ","))
 
 
+@query
+def code_searches(spark, sf):
+    hits = search.code_searches(_files(spark, sf), SEARCHES, table(spark, sf, "repositories"))
+    return hits.select("search", "repository_id", "file_path", "line_number", "line")
+
+
 @query
 def path_tags(spark, sf):
     return table(spark, sf, "pages").select("page_id", "url", F.array_join(paths.path_tags(F.col("url")), ",").alias("tags"))

@@ -9,6 +9,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
+from codesieve.operators.search import Search
 from codesieve.packs import builtin_rules
 from codesieve.sources.rules import Rule
 from codesieve.sources.tables import read_table
@@ -26,6 +27,16 @@ HYGIENE = [
 # A match that runs over a line end: a line of one word and the first word of the next line.
 MULTILINE = [Rule("ml_break", "sentence over two lines", "[a-z]+[.] *\n[A-Z][a-z]+ [a-z]+", "xss", 3)]
 
+# Searches over prose: with languages, paths to leave out, popularity, and texts taken literally.
+SEARCHES = {
+    "numbers": Search("[0-9]{3,}", language="en", without_paths=("vendor", "routes"), min_stars=100),
+    "long_word": Search("[a-z]{18,}"), "shout": Search("[A-Z]{4,}", min_stars=5000), "mail": Search("@", quoted=True),
+    "license": Search("Licensed|License", without_paths=("controllers",)), "dollar": Search("$", quoted=True),
+    "brackets": Search("[a-z][(]", language="fr"), "price": Search("[0-9]+[.][0-9]{2}"),
+    "question": Search("?", quoted=True, language="de"), "same": Search("the the ", language="en"),
+    "end": Search("[.]$", language="es", without_paths=("src/f",)), "url": Search("https?://[a-z]+"),
+}
+
 # Built-in rules as far as an engine without look-ahead can check them.
 PACK = [rule for rule in builtin_rules() if "(?!" not in rule.regex]
 

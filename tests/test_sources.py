@@ -137,3 +137,19 @@ def test_file_counts_of_sinks_do_not_grow_with_tasks(spark, tmp_path):
     sinks.write_high_severity_summary(rows.limit(1), rows, str(tmp_path / "s"), parts=2)
     assert len(list((tmp_path / "c").rglob("*.json"))) == 3
     assert len(list((tmp_path / "s" / "findings").rglob("*.json"))) <= 6
+
+
+def test_searches_share_one_scan(spark):
+    from codesieve.operators.search import CATALOGUE, Search, code_searches
+
+    rows = [("1", "src/a.py", "python", "os.system(x)\npickle.loads(y)"), ("2", "test/a.php", "php", "md5($x); unserialize($y)"),
+            ("2", "test/b.php", "php", "password = 'secret1'")]
+    frame = spark.createDataFrame(rows, "repository_id string, file_path string, language string, content string")
+    found = code_searches(frame, CATALOGUE)
+    assert sorted((r.search, r.repository_id, r.line_number) for r in found.collect()) == [
+        ("shell_call", "1", 1), ("unpickling", "1", 2), ("unserialize", "2", 1), ("weak_hash", "2", 1)]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert len(CATALOGUE) >= 10 and plan.count("LogicalRDD") + plan.count("LocalRelation") == 1
+    stars = spark.createDataFrame([("1", 10), ("2", None)], "id string, stars int")
+    some = {"a": Search("system", min_stars=5), "b": Search("md5", min_stars=5), "c": Search("md5")}
+    assert sorted((r.search, r.repository_id) for r in code_searches(frame, some, stars).collect()) == [("a", "1"), ("c", "2")]
