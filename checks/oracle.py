@@ -301,6 +301,7 @@ ORACLE: dict[str, str] = {
         WHEN 'path_traversal' THEN 3 WHEN 'ssrf' THEN 5 WHEN 'xss' THEN 6 ELSE 7 END AS category_rank, score FROM scored"""),
     "orphan_findings": _with((F, R), RAW, f"""SELECT id, repository_id FROM raw
         WHERE repository_id NOT IN (SELECT id FROM repositories WHERE {KEEP})"""),
+    "orphan_patterns": _with((F,), RAW, f"SELECT id, pattern_id FROM raw WHERE pattern_id = '{HYGIENE[0].id}'"),
     "unique_violations": "SELECT md5(text) AS text_md5, count(*) AS n FROM documents GROUP BY text HAVING count(*) > 1",
     "context_snippet": _with((F,), RAW, f"SELECT id, {SNIPPET} AS snippet FROM raw"),
     "context_join": _with((F,), RAW, f"""SELECT id, CASE WHEN repository_id = 'src2' THEN snippet WHEN file_path LIKE 'App%' THEN ''

@@ -21,7 +21,7 @@ from codesieve.operators import (
 from codesieve.plans import sast as sast_plan
 from codesieve.plans import triage as triage_plan
 from codesieve.sources import packs, records
-from codesieve.sources.rules import Rule
+from codesieve.sources.rules import Rule, rules_frame
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -465,7 +465,13 @@ def orphan_findings(spark, sf):
 
 @query
 def unique_violations(spark, sf):
-    return tables.unique_violations(table(spark, sf, "documents"), "text").select(F.md5("text").alias("text_md5"), "n")
+    return tables.repeated_texts(table(spark, sf, "documents"), "text")
+
+
+@query
+def orphan_patterns(spark, sf):
+    known = rules_frame(spark, HYGIENE[1:])
+    return tables.orphans(_raw(spark, sf), known, "pattern_id").select("id", "pattern_id")
 
 
 # --- context ---------------------------------------------------------------------------------

@@ -91,9 +91,9 @@ def winners(findings: DataFrame) -> DataFrame:
 
 
 def losers(findings: DataFrame) -> DataFrame:
-    """Findings that de-duplication removes."""
-    best = findings.groupBy(*LOCATION).agg(F.min_by("id", _rank()).alias("id"))
-    return findings.join(best.select("id"), "id", "left_anti")
+    """Findings that de-duplication removes; the findings are made once."""
+    order = Window.partitionBy(*LOCATION).orderBy(F.desc("score"), "id")
+    return findings.withColumn("_rn", F.row_number().over(order)).where(F.col("_rn") > 1).drop("_rn")
 
 
 def duplicate_locations(findings: DataFrame) -> DataFrame:

@@ -93,6 +93,12 @@ def unique_violations(rows: DataFrame, key: str) -> DataFrame:
     return rows.groupBy(key).agg(F.count("*").alias("n")).where(F.col("n") > 1)
 
 
+def repeated_texts(rows: DataFrame, text: str) -> DataFrame:
+    """``text_md5`` and number of the texts that occur more than once; digests are shuffled, not texts."""
+    digests = rows.select(F.md5(text).alias("text_md5"), F.octet_length(text).alias("_size"))
+    return digests.groupBy("text_md5", "_size").agg(F.count("*").alias("n")).where(F.col("n") > 1).drop("_size")
+
+
 def not_done(rows: DataFrame, done: DataFrame, key: str | Sequence[str], force: bool = False) -> DataFrame:
     """Work still to do: rows whose key is not in ``done``; all rows with ``force``."""
     if force:
