@@ -47,7 +47,7 @@ def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     for _ in range(most_rounds):
         if not state[0]:
             break
-        edges = durable(_small_star(durable(_large_star(edges))))
+        edges = durable(_small_star(_large_star(edges)))
         before, state = state, _state(edges)
         if state == before:
             break

@@ -3,8 +3,9 @@
 Documents with one set of shingles form a class; only one document of a class goes on.  The minima of ``BANDS``
 bands file it in buckets.  First every member of a bucket is compared with the bucket's smallest member (a star,
 not all pairs), which ties groups of near copies together at once.  Then only buckets whose members still lie in
-several components are looked at: signatures are compared inside the task, blockwise, and only pairs that the
-signature lets through and that would tie two components are written.  All pairs are confirmed on full sets.
+several components are looked at, blockwise and inside a task: signatures pick the documents that may tie two of
+them, their sets join them, and the pairs are confirmed there.  Only links that tie components are written, never
+pairs.  All links are confirmed on full sets.
 
 A pair of similarity 0.75 shares no bucket with probability (1 - 0.75^5)^40 = 2e-5.  The signature lets a pair
 through from 0.6, five standard deviations below.
@@ -114,6 +115,11 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, type=pa.binary())], names=["id", "shingles"])
 
 
+def _similar(a: np.ndarray, b: np.ndarray) -> bool:
+    common = len(np.intersect1d(a, b, assume_unique=True))
+    return 100 * common >= SIMILAR * (len(a) + len(b) - common)
+
+
 def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs whose signatures agree often enough."""
     for batch in batches:
@@ -128,38 +134,99 @@ def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         keep = []
         for x, y in zip(batch.column(2), batch.column(3), strict=True):
-            a, b = (np.frombuffer(z.as_py(), dtype=np.uint64) for z in (x, y))
-            common = len(np.intersect1d(a, b, assume_unique=True))
-            keep.append(100 * common >= SIMILAR * (len(a) + len(b) - common))
+            keep.append(_similar(*(np.frombuffer(z.as_py(), dtype=np.uint64) for z in (x, y))))
         yield batch.select([0, 1]).filter(pa.array(keep, type=pa.bool_()))
 
 
-def _across(group: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of a block of a bucket that lie in different components and whose signatures agree often enough."""
-    group = group.sort_values("node")
-    side, nodes, parts = (group[c].to_numpy() for c in ("side", "node", "component"))
-    signatures = np.frombuffer(b"".join(group["signature"]), dtype=np.uint8).reshape(-1, HASHES)
-    left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
-    out = []
-    for at in range(0, len(left), 32):
-        rows = left[at:at + 32]
-        same = (signatures[rows][:, None, :] == signatures[right][None, :, :]).mean(axis=2)
-        x, y = np.nonzero((same >= LET_THROUGH) & (parts[rows][:, None] != parts[right][None, :]))
-        out.append(pd.DataFrame({"a": np.minimum(nodes[rows[x]], nodes[right[y]]),
-                                 "b": np.maximum(nodes[rows[x]], nodes[right[y]])}))
-    return pd.concat(out).drop_duplicates() if out else pd.DataFrame({"a": nodes[:0], "b": nodes[:0]})
+def _candidates(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of the pairs of rows (sorted by block) that may tie two components, and their signatures' agreement.
 
+    A pair is looked at in the first band that it shares, and only if its signatures agree often enough.
+    """
+    block = rows.groupby(["bucket", "i", "j"], sort=False).ngroup().to_numpy()
+    side, parts, band = (rows[c].to_numpy() for c in ("side", "component", "band"))
+    signatures = np.frombuffer(b"".join(rows["signature"]), dtype=np.uint8).reshape(-1, BANDS, ROWS)
+    left, right, likely = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)], [np.zeros(0)]
+    for step in range(1, len(rows)):
+        x = np.flatnonzero(block[:-step] == block[step:])
+        if not len(x):
+            break
+        x = x[(parts[x] != parts[x + step]) & ((side[x] == 2) | (side[x] != side[x + step]))]
+        for at in range(0, len(x), 4096):
+            p = x[at:at + 4096]
+            same = signatures[p] == signatures[p + step]
+            share = same.mean(axis=(1, 2))
+            good = (share >= LET_THROUGH) & (same.all(axis=2).argmax(axis=1) == band[p])
+            left.append(p[good])
+            right.append(p[good] + step)
+            likely.append(share[good])
+    return np.concatenate(left), np.concatenate(right), np.concatenate(likely)
+
+
+def _wanted(rows: pd.DataFrame) -> pd.DataFrame:
+    """Rows of whole blocks that are in some candidate pair."""
+    left, right, _ = _candidates(rows)
+    return rows.iloc[np.union1d(left, right)]
+
+
+def _tied(rows: pd.DataFrame) -> pd.DataFrame:
+    """Links of whole blocks that tie components, confirmed on full sets: likeliest pairs first, and no pair whose
+    components are tied by then."""
+    left, right, share = _candidates(rows)
+    nodes, parts = rows["node"].to_numpy(), rows["component"].to_numpy()
+    block = rows.groupby(["bucket", "i", "j"], sort=False).ngroup().to_numpy()
+    sets = [np.frombuffer(x, dtype=np.uint64) for x in rows["shingles"]]
+    parent: dict[tuple, tuple] = {}
+
+    def root(x: tuple) -> tuple:
+        while (up := parent.get(x, x)) != x:
+            parent[x] = x = parent.get(up, up)
+        return x
 
-def _only(rows: DataFrame, ids: DataFrame) -> DataFrame:
-    """``rows`` whose id is among the distinct ``ids``; most others are left out by a Bloom filter before any shuffle."""
+    out = []
+    for k in np.argsort(-share, kind="stable"):
+        p, q = left[k], right[k]
+        x, y = root((block[p], parts[p])), root((block[q], parts[q]))
+        if x != y and _similar(sets[p], sets[q]):
+            parent[x] = y
+            out.append((nodes[p], nodes[q]))
+    return pd.DataFrame(out, columns=["a", "b"])
+
+
+def _by_block(work):
+    """Worker over partitions sorted by block; the last block of a part waits for the next one."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        waiting = None
+        for batch in batches:
+            for at in range(0, len(batch), 2 * BLOCK):
+                part = batch.iloc[at:at + 2 * BLOCK]
+                rows = part if waiting is None else pd.concat([waiting, part])
+                last = (rows[["bucket", "i", "j"]] == rows[["bucket", "i", "j"]].iloc[-1]).all(axis=1).to_numpy()
+                waiting = rows[last]
+                if not last.all():
+                    yield work(rows[~last])
+        if waiting is not None and len(waiting):
+            yield work(waiting)
+
+    return run
+
+
+def _maybe_in(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """``rows`` with ``_maybe``, false only where the id is surely not among ``ids``: a Bloom filter, no shuffle."""
     words = power_of_two(max(ids.count(), 256) / 4)
     mask = reduce(lambda x, y: x.bitwiseOR(y), [_bit(cell) for cell in _cells(F.col("id"))])
     bits = ids.select(_word(F.col("id"), words).alias("_word"), mask.alias("_bits")).groupBy("_word").agg(
         F.bit_or("_bits").alias("_bits"))
-    near = rows.withColumn("_word", _word(F.col("id"), words)).join(
-        F.broadcast(bits) if words <= BROADCAST_WORDS else bits, "_word").where(
-        F.col("_bits").bitwiseAND(mask) == mask).drop("_word", "_bits")
-    return near.join(ids, "id", "left_semi")
+    joined = rows.withColumn("_word", _word(F.col("id"), words)).join(
+        F.broadcast(bits) if words <= BROADCAST_WORDS else bits, "_word", "left")
+    return joined.withColumn("_maybe", F.coalesce(F.col("_bits").bitwiseAND(mask) == mask, F.lit(False))).drop(
+        "_word", "_bits")
+
+
+def _only(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """``rows`` whose id is among the distinct ``ids``; most others are left out before any shuffle."""
+    near = _maybe_in(rows, ids).where("_maybe").drop("_maybe")
+    return near.join(ids, "id")  # not a semi join, which would be moved in front of the filter
 
 
 class _Linker:
@@ -178,40 +245,63 @@ class _Linker:
         signatures = self.classes.select("id", "signature")
         return self._with_both(pairs, signatures).mapInArrow(_alike, f"a {self.kind}, b {self.kind}")
 
+    def sets(self, ids: DataFrame) -> DataFrame:
+        """``id`` and full set of the texts of ``ids``."""
+        return _only(self.texts, durable(ids.distinct())).mapInArrow(_sets, f"id {self.kind}, shingles binary")
+
     def confirmed(self, pairs: DataFrame) -> DataFrame:
         """Pairs that are similar on full sets; ``pairs`` are stored."""
-        ids = durable(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct())
-        sets = _only(self.texts, ids).mapInArrow(_sets, f"id {self.kind}, shingles binary")
+        sets = self.sets(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))))
         return self._with_both(pairs, sets).mapInArrow(_confirmed, f"a {self.kind}, b {self.kind}")
 
 
-def _links(linker: _Linker) -> DataFrame:
-    """Confirmed pairs that tie all near-duplicate classes together."""
-    filed = linker.classes.select("id", F.explode("buckets").alias("bucket"))
+def _joined_by(components: DataFrame, links: DataFrame) -> DataFrame:
+    """Components after more links: these tie whole components, so that only few edges are left to work on."""
+    known = components.select("node", "component")
+    edges = (links.join(known.toDF("a", "x"), "a", "left").join(known.toDF("b", "y"), "b", "left")
+             .select(F.coalesce("x", "a").alias("u"), F.coalesce("y", "b").alias("v")))
+    merged = durable(connected_components(edges))
+    every = components.union(merged.select("node", F.col("node").alias("component"))).groupBy("node").agg(
+        F.min("component").alias("component"))
+    return every.join(merged.toDF("component", "_to"), "component", "left").select(
+        "node", F.coalesce("_to", "component").alias("component"))
+
+
+def _components(linker: _Linker) -> DataFrame:
+    """``node``, ``component`` of all classes that confirmed links tie to others."""
+    filed = linker.classes.select("id", F.posexplode("buckets").alias("band", "bucket"))
     shared = filed.groupBy("bucket").agg(F.min("id").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1")
     members = durable(join_hot(filed, shared, "bucket", spread_by=F.xxhash64("id"), salts=4).select(
-        "bucket", "n", F.col("id").alias("node"), "leader"))
+        "bucket", "band", "n", F.col("id").alias("node"), "leader"))
     stars = members.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
-    starred = durable(linker.alike(stars))
-    links = durable(linker.confirmed(starred))
-    components = durable(connected_components(links))
-
-    placed = members.join(components, "node", "left").select(
-        "bucket", "n", "node", F.coalesce("component", "node").alias("component"))
-    split = placed.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
-    rest = durable(join_hot(placed, split.select("bucket"), "bucket", "left_semi", F.xxhash64("node"), 4))
+    tested = durable(linker.alike(stars))
+    components = durable(connected_components(linker.confirmed(tested)))
     signatures = linker.classes.select(F.col("id").alias("node"), "signature")
-    # A bucket of many members is compared block by block: each row goes to the pairs of blocks it belongs to.
     blocks = F.ceil(F.col("n") / F.lit(float(BLOCK))).cast("int")
     own = F.pmod(F.xxhash64("node", "bucket"), F.col("blocks")).cast("int")
+    placed = members.join(components, "node", "left").select(
+        "bucket", "band", "n", "node", F.coalesce("component", "node").alias("component"))
+    split = placed.groupBy("bucket").agg(
+        F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("bucket")
+    rest = join_hot(placed, split, "bucket", "left_semi", F.xxhash64("node"), 4)
+    # A bucket of many members is compared block by block: each row goes to the pairs of blocks it belongs to.
     spread = (rest.join(signatures, "node").withColumn("blocks", blocks).withColumn("own", own)
               .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-              .select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-                      F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1)
-                      .alias("side"), "node", "component", "signature"))
-    across = spread.groupBy("bucket", "i", "j").applyInPandas(_across, f"a {linker.kind}, b {linker.kind}")
-    new = durable(across.distinct().join(starred, ["a", "b"], "left_anti"))
-    return links.union(linker.confirmed(new)) if new.head(1) else links
+              .select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "band",
+                      F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0)
+                      .otherwise(1).alias("side"), "node", "component", "signature"))
+    wanted = durable(_sorted(spread).mapInPandas(
+        _by_block(_wanted), f"bucket long, i int, j int, band int, side int, node {linker.kind}, "
+                            f"component {linker.kind}, signature binary"))
+    if not wanted.head(1):
+        return components
+    sets = linker.sets(wanted.select(F.col("node").alias("id"))).withColumnRenamed("id", "node")
+    links = _sorted(wanted.join(sets, "node")).mapInPandas(_by_block(_tied), f"a {linker.kind}, b {linker.kind}")
+    return _joined_by(components, durable(links))
+
+
+def _sorted(rows: DataFrame) -> DataFrame:
+    return rows.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "node")
 
 
 def near_duplicates(df: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -230,7 +320,7 @@ def near_duplicates(df: DataFrame, id_column: str = "doc_id", text_column: str =
     first = F.min_by(F.struct("buckets", "signature"), "id")
     classes = durable(filled.groupBy("digest").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"),
                                                    first.alias("_s")).select("digest", "id", "copies", "_s.*"))
-    components = connected_components(_links(_Linker(texts.where("id is not null"), classes)))
+    components = _components(_Linker(texts.where("id is not null"), classes))
     named = classes.select("digest", "id", "copies").join(
         components.withColumnRenamed("node", "id"), "id", "left").where("copies > 1 or component is not null").select(
         "digest", F.coalesce("component", "id").alias("component"))
@@ -241,6 +331,13 @@ def near_duplicates(df: DataFrame, id_column: str = "doc_id", text_column: str =
 
 
 def drop_near_duplicates(df: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``df`` without the documents that are not the first of their component; columns as they are."""
-    gone = near_duplicates(df, id_column, text_column).where("not kept").select(F.col(id_column).alias("_gone"))
-    return df.join(gone.distinct(), df[id_column] == F.col("_gone"), "left_anti")
+    """``df`` without the documents that are not the first of their component; columns as they are.
+
+    Rows whose id is surely not among the dropped ones pass without a shuffle.
+    """
+    found = near_duplicates(df, id_column, text_column)
+    gone = durable(found.where("not kept").select(F.col(id_column).alias("id")).distinct())
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"), F.col(id_column).alias("id"))
+    flagged = _maybe_in(rows, gone)
+    stay = flagged.where("_maybe").join(gone.withColumn("_gone", F.lit(True)), "id", "left").where("_gone is null")
+    return flagged.where("not _maybe").select("_row").union(stay.select("_row")).select("_row.*")

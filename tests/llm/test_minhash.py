@@ -63,9 +63,8 @@ def test_against_all_pairs(docs):
     assert got == {i: (n, c, i == c) for i, (n, c) in brute(rows).items()}
 
 
-def test_blocks_and_rounds(docs, monkeypatch):
+def test_blocks(docs, monkeypatch):
     monkeypatch.setattr(minhash, "BLOCK", 3)
-    monkeypatch.setattr(minhash, "PAIRS_AT_ONCE", (1, None))
     rows = corpus(3, bases=4, copies=20)
     got = {r.doc_id: r.component_id for r in minhash.near_duplicates(docs(*rows)).collect()}
     assert got == {i: c for i, (_, c) in brute(rows).items()}
@@ -102,14 +101,16 @@ def test_signatures_estimate_similarity():
     assert abs((x == y).mean() - len(a & b) / len(a | b)) < 0.15
 
 
-def test_block_pairs_hold_back_and_report():
+def test_blocks_give_links_that_tie_components():
     signature = np.zeros(minhash.HASHES, dtype=np.uint8).tobytes()
-    rows = pd.DataFrame({"bucket": 1, "i": 0, "j": 0, "side": 2, "node": range(6), "band": 0,
-                         "component": [0, 0, 0, 3, 3, 3], "signature": [signature] * 6})
-    some = minhash._block_pairs(rows, 2)
-    assert len(some) == 2 and some["more"].all()
-    every = minhash._block_pairs(rows, None)
-    assert len(every) == 9 and not every["more"].any()
+    near, far = np.arange(20, dtype=np.uint64).tobytes(), np.arange(100, 120, dtype=np.uint64).tobytes()
+    rows = pd.DataFrame({"bucket": 1, "i": 0, "j": 0, "side": 2, "node": range(7), "band": 0,
+                         "component": [0, 0, 0, 3, 3, 3, 6], "signature": [signature] * 7,
+                         "shingles": [far, near, near, far, near, near, np.arange(50, 70, dtype=np.uint64).tobytes()]})
+    assert len(minhash._wanted(rows)) == 7
+    links = minhash._tied(rows)
+    assert len(links) == 1 and set(links.iloc[0]) & {0, 1, 2} and set(links.iloc[0]) & {3, 4, 5}
+    assert len(minhash._wanted(rows.assign(component=0))) == 0
 
 
 def test_components(spark):
