@@ -35,7 +35,7 @@ HASHES = BANDS * ROWS
 SIMILAR = 75  # per cent
 LET_THROUGH = 0.6
 BLOCK = 1024
-KEPT_WORDS = 300_000
+KEPT_WORDS = 150_000
 
 _RANDOM = np.random.default_rng(20_240_607)
 _MULTIPLY = _RANDOM.integers(0, 2**64, HASHES, dtype=np.uint64) | np.uint64(1)
@@ -107,6 +107,7 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             pa.ListArray.from_arrays(offsets, pa.array(buckets.ravel())),
             pa.array([s.tobytes() if full else None for s, full in zip(signatures, filled, strict=True)],
                      type=pa.binary())], names=["id", "n_shingles", "digest", "buckets", "signature"])
+    _HASHES.clear()  # a worker process goes on to other work
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 
-KEPT_PARTS = 200_000
+KEPT_PARTS = 100_000
 KEPT_PAIRS = 1_000_000
 STEP = 1 << 20
 ROWS = 256

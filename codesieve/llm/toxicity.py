@@ -32,7 +32,7 @@ PENALTY = 20.0
 LONGEST = 32
 #: Documents of either class set apart for calibration; with fewer the whole sample is taken.
 LEAST_CHECKED = 50
-KEPT_WORDS = 300_000
+KEPT_WORDS = 150_000
 CODES = 64
 
 NOT_LETTERS = re.compile(r"[\W\d_]+")
