@@ -8,7 +8,8 @@ them, their sets join them, and the pairs are confirmed there.  Only links that
 pairs.  All links are confirmed on full sets.
 
 A pair of similarity 0.75 shares no bucket with probability (1 - 0.75^5)^40 = 2e-5.  The signature lets a pair
-through from 0.6, five standard deviations below.
+through from 0.6, five standard deviations below.  A signature is the low byte of each minimum, followed by 32 bits
+of each bucket: a pair that meets in several buckets is told by these, not by the bytes, which may agree by chance.
 """
 
 from __future__ import annotations
@@ -99,7 +100,8 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             lows.append(minima(found))
         low = np.array(lows, dtype=np.uint64).reshape(-1, BANDS, ROWS)
         buckets = _mixed((low * _BAND[:, :ROWS]).sum(axis=2, dtype=np.uint64) + _BAND[:, ROWS]).view(np.int64)
-        signatures = (low & np.uint64(255)).astype(np.uint8).reshape(len(lows), HASHES)
+        signatures = np.hstack([(low & np.uint64(255)).astype(np.uint8).reshape(len(lows), HASHES),
+                                buckets.astype("<u4").view(np.uint8)])
         filled = np.array(sizes) > 0
         offsets = pa.array(np.arange(len(lows) + 1, dtype=np.int32) * BANDS)
         yield pa.RecordBatch.from_arrays([
@@ -142,11 +144,13 @@ def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _candidates(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Places of the pairs of rows (sorted by block) that may tie two components, and their signatures' agreement.
 
-    A pair is looked at in the first band that it shares, and only if its signatures agree often enough.
+    A pair is looked at in the first band whose bucket it shares, and only if its signatures agree often enough.
     """
     block = rows.groupby(["bucket", "i", "j"], sort=False).ngroup().to_numpy()
     side, parts, band = (rows[c].to_numpy() for c in ("side", "component", "band"))
-    signatures = np.frombuffer(b"".join(rows["signature"]), dtype=np.uint8).reshape(-1, BANDS, ROWS)
+    stored = np.frombuffer(b"".join(rows["signature"]), dtype=np.uint8).reshape(len(rows), -1)
+    signatures = stored[:, :HASHES].reshape(-1, BANDS, ROWS)
+    buckets = stored[:, HASHES:].reshape(len(rows), BANDS, -1)
     left, right, likely = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)], [np.zeros(0)]
     for step in range(1, len(rows)):
         x = np.flatnonzero(block[:-step] == block[step:])
@@ -157,7 +161,8 @@ def _candidates(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]
             p = x[at:at + 4096]
             same = signatures[p] == signatures[p + step]
             share = same.mean(axis=(1, 2))
-            good = (share >= LET_THROUGH) & (same.all(axis=2).argmax(axis=1) == band[p])
+            met = same.all(axis=2) & (buckets[p] == buckets[p + step]).all(axis=2)
+            good = (share >= LET_THROUGH) & (met.argmax(axis=1) == band[p])
             left.append(p[good])
             right.append(p[good] + step)
             likely.append(share[good])
@@ -243,7 +248,7 @@ class _Linker:
         return pairs.join(left, "a").join(right, "b").select("a", "b", "_x", "_y")
 
     def alike(self, pairs: DataFrame) -> DataFrame:
-        signatures = self.classes.select("id", "signature")
+        signatures = self.classes.select("id", F.substring("signature", 1, HASHES).alias("signature"))
         return self._with_both(pairs, signatures).mapInArrow(_alike, f"a {self.kind}, b {self.kind}")
 
     def sets(self, ids: DataFrame) -> DataFrame:

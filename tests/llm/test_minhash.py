@@ -3,6 +3,7 @@ from collections import defaultdict
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 
 from codesieve.llm import minhash
 from codesieve.llm.components import connected_components
@@ -113,6 +114,21 @@ def test_blocks_give_links_that_tie_components():
     assert len(minhash._wanted(rows.assign(component=0))) == 0
 
 
+def test_pair_whose_earlier_band_agrees_only_in_the_low_bytes(monkeypatch):
+    lows = [np.arange(minhash.HASHES, dtype=np.uint64) * np.uint64(1009) for _ in range(2)]
+    lows[1][0] += np.uint64(256)  # another minimum with the same low byte: the pair does not meet in band 0
+    found = iter(lows)
+    monkeypatch.setattr(minhash, "minima", lambda _: next(found))
+    batch = pa.RecordBatch.from_pydict({"id": [1, 2], "text": ["a b c d e f", "a b c d e g"]})
+    sketch = next(minhash._sketch(iter([batch]))).to_pydict()
+    x, y = sketch["buckets"]
+    assert [a == b for a, b in zip(x, y, strict=True)] == [False] + [True] * (minhash.BANDS - 1)
+    for band in range(1, minhash.BANDS):
+        rows = pd.DataFrame({"bucket": x[band], "i": 0, "j": 0, "side": 2, "node": [1, 2], "band": band,
+                             "component": [1, 2], "signature": sketch["signature"]})
+        assert len(minhash._wanted(rows)) == (2 if band == 1 else 0)  # once, in the first bucket that it shares
+
+
 def test_components(spark):
     random.seed(11)
     pairs = [(random.randrange(300), random.randrange(300)) for _ in range(220)] + [(0, i) for i in range(400, 460)]
