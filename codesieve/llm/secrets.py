@@ -3,8 +3,8 @@
 Candidate strings are runs of the characters of keys.  A window slides over each; the Shannon entropy of the window
 is kept up by adding the entering and taking out the leaving character's share of n log n.  The widest-spread class
 of characters that a candidate needs (digits, hex, letters and digits, base64) sets window and threshold.
-Candidates on the allow list are not reported: placeholders, UUIDs, dotted paths of words, and all that a fixed
-pattern already covers.
+Candidates on the allow list are not reported: placeholders, UUIDs, paths of words (judged by the case and length of
+their parts), and all that a fixed pattern already covers.
 """
 
 from __future__ import annotations
@@ -44,9 +44,14 @@ RULES = {"hex": EntropyRule(24, 3.1), "alnum": EntropyRule(24, 3.9), "base64": E
 ALLOWED = (
     re.compile(r"[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}", re.IGNORECASE),
     re.compile(r".*(example|sample|placeholder|changeme|dummy|xxxx|your[_-]?(key|token|secret)).*", re.IGNORECASE),
-    re.compile(r"[A-Za-z]+([/_-]+[A-Za-z]*)*"),
     re.compile(r"(.)\1*"),
 )
+#: Letters and separators, to be read in one way only: linear however long a run of separators is.
+PATH = re.compile(r"[A-Za-z]+(?:[/_-]+[A-Za-z]+)*[/_-]*")
+PLAIN = re.compile(r"[A-Z]+|[A-Z]?[a-z]+")
+#: Words of a part in mixed case; an abbreviation in capitals may stand before a word.  Random letters give 2.7 a word.
+CASED = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
+LONGEST_WORD, MEAN_MIXED = 20, 4.0
 
 
 def highest_entropy(text: str, window: int) -> float:
@@ -81,6 +86,16 @@ def character_class(text: str) -> str | None:
     return "alnum" if ALNUM.fullmatch(text) else "base64"
 
 
+def of_words(text: str) -> bool:
+    """Whether a candidate is letters and separators whose parts have the case and length of words."""
+    if not PATH.fullmatch(text):
+        return False
+    parts = re.findall(r"[A-Za-z]+", text)
+    mixed = [word for part in parts if not PLAIN.fullmatch(part) for word in CASED.findall(part)]
+    plain = [part for part in parts if PLAIN.fullmatch(part)]
+    return max(map(len, plain + mixed)) <= LONGEST_WORD and sum(map(len, mixed)) >= MEAN_MIXED * len(mixed)
+
+
 def base_spans(text: str) -> list[tuple[int, int, str]]:
     """Spans (start, end, kind) of the fixed patterns, in code points."""
     spans = []
@@ -108,7 +123,7 @@ def entropy_spans(text: str, covered: list[tuple[int, int, str]]) -> list[tuple[
             continue
         found = match.group()
         kind = character_class(found)
-        if kind is None or any(allowed.fullmatch(found) for allowed in ALLOWED):
+        if kind is None or of_words(found) or any(allowed.fullmatch(found) for allowed in ALLOWED):
             continue
         if highest_entropy(found, RULES[kind].window) >= RULES[kind].bits:
             spans.append((start, end, "entropy"))
