@@ -7,7 +7,9 @@ documents; then a sentence stands for its worst word, a toxic document for its w
 three worst (which makes them hard examples), and it is trained anew.  Words are mapped to the space that the kernel
 with ``LANDMARKS`` landmark words spans.  Since a kernel value is a sum over
 subsequences, the trained machine is folded into one weight per subsequence; a word's value is the same as with the
-landmarks.  A text's score is the calibrated value of its worst word.
+landmarks.  A text's score is the calibrated value of its worst unit: a word, a run of letters spelled out, or a window
+of up to ``JOINED`` neighbouring words whose letters are joined, so that a gap may be a space or a line end.  Every
+window is bounded from above (its norm is least if no subsequence repeats); those that may be worst are worked out.
 """
 
 from __future__ import annotations
@@ -30,6 +32,9 @@ SAMPLE_TOXIC, SAMPLE_CLEAN, HARD_WORDS = 2000, 4000, 3000
 ROUNDS = 3
 PENALTY = 20.0
 LONGEST = 32
+#: Words of a window; windows of more than LONGEST letters are not looked at.
+JOINED = 4
+CHUNK = 50_000
 #: Documents of either class set apart for calibration; with fewer the whole sample is taken.
 LEAST_CHECKED = 50
 KEPT_WORDS = 150_000
@@ -39,11 +44,13 @@ NOT_LETTERS = re.compile(r"[\W\d_]+")
 #: Signs that stand for letters inside a word.
 SIGNS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s"}
 SIGN = re.compile(r"(?<=[^\W\d_])[013457@$](?=[^\W\d_])")
-SPELLED = re.compile(r"(?<!\w)\w(?:[^\w\n]{1,2}\w){3,}(?!\w)")
+SPELLED = re.compile(r"(?<!\w)\w(?:\W{1,5}\w){3,}(?!\w)")
 SENTENCE = re.compile(r"(?<=[.!?])\s+|\n")
 
 _PATTERNS = [(i, j) for j in range(2, SPAN) for i in range(1, j)]
 _WEIGHTS = np.array([DECAY ** (j + 1) for _, j in _PATTERNS])
+#: Least norm of so many letters.
+_LEAST_NORM = np.sqrt([sum(max(0, n - j) * DECAY ** (2 * j + 2) for _, j in _PATTERNS) for n in range(LONGEST + 1)])
 
 
 def letters(word: str) -> str:
@@ -59,12 +66,17 @@ def units(text: str) -> list[str]:
     return text.split() + [m.group() for m in SPELLED.finditer(text)]
 
 
+def _numbers(text: str) -> np.ndarray:
+    """Letters as numbers; a-z keep apart from each other and from all other letters."""
+    points = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32).astype(np.int32)
+    plain = (points >= 97) & (points <= 122)
+    return np.where(plain, points - 96, 27 + points % 37)
+
+
 def _codes(words: list[str]) -> np.ndarray:
-    """Letters as numbers, 0 beyond the end; a-z keep apart from each other and from all other letters."""
+    """Numbers of the letters of each word, 0 beyond the end."""
     lengths = np.array([len(w) for w in words])
-    points = np.frombuffer("".join(words).encode("utf-32-le"), dtype=np.uint32).astype(np.int32)
-    plain = (points >= 97) & (points <= 122)
-    codes = np.where(plain, points - 96, 27 + points % 37)
+    codes = _numbers("".join(words))
     out = np.zeros((len(words), int(lengths.max())), dtype=np.int32)
     out[np.arange(out.shape[1]) < lengths[:, None]] = codes
     return out
@@ -136,6 +148,29 @@ class Machine:
             np.maximum.at(best, [owner[k] for k in some], found)
         return np.where(np.isfinite(best), best, out)
 
+    def window_bounds(self, words: list[str], owner: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Per size: the first words of all windows inside one text, and what their values do not exceed."""
+        lengths = np.array([len(w) for w in words])
+        ends = np.cumsum(lengths)
+        n = int(ends[-1])
+        codes = np.pad(_numbers("".join(words)), (0, SPAN))
+        upto = np.zeros((n, SPAN), dtype=np.float32)  # of the subsequences from a letter on, by their last letter
+        for j in range(2, SPAN):
+            last = codes[j:j + n]
+            found = sum(self.table[(codes[:n] * CODES + codes[i:i + n]) * CODES + last] for i in range(1, j))
+            upto[:, j] = upto[:, j - 1] + np.where(last > 0, found, 0) * np.float32(DECAY ** (j + 1))
+        before = np.concatenate([[0.0], np.cumsum(upto[:, -1], dtype=np.float64)])
+        for size in range(2, JOINED + 1):
+            if len(words) < size:
+                return
+            start, end = (ends - lengths)[:len(words) - size + 1], ends[size - 1:]
+            good = np.flatnonzero((owner[:len(start)] == owner[size - 1:]) & (end - start >= 3) & (end - start <= LONGEST))
+            start, end = start[good], end[good]
+            total = before[np.maximum(start, end - SPAN + 1)] - before[start]
+            for k in range(3, SPAN):
+                total += np.where(end - k >= start, upto[np.maximum(end - k, 0), k - 1], 0)
+            yield size, good, self.offset + np.maximum(total, 0) / _LEAST_NORM[end - start] + 1e-4
+
     def score(self, value: np.ndarray) -> np.ndarray:
         return 1.0 / (1.0 + np.exp(-np.clip(self.slope * value + self.shift, -500, 500)))
 
@@ -207,7 +242,11 @@ def _sample(docs: DataFrame, labels: DataFrame, toxic: int, clean: int) -> DataF
 
 
 def _words(text: str) -> set[str]:
-    return {word for word in (letters(w)[:LONGEST] for w in units(text)) if len(word) >= 3}
+    """Words of a text as letters, and pairs of neighbours with a space."""
+    single = [letters(w) for w in text.lower().split()]
+    single = [w for w in single if w]
+    pairs = {f"{a} {b}" for a, b in zip(single, single[1:]) if 3 <= len(a) + len(b) <= LONGEST}
+    return pairs | {word for word in (letters(w)[:LONGEST] for w in units(text)) if len(word) >= 3}
 
 
 def _word_counts(sample: DataFrame) -> DataFrame:
@@ -274,9 +313,9 @@ def _worst(sample: DataFrame, machine: Machine) -> pd.DataFrame:
         for batch in batches:
             rows = []
             for text, toxic, check in batch[["text", "toxic", "check"]].itertuples(index=False):
-                sentences = [u for u in map(units, SENTENCE.split(text)) if u]
-                values = known.of(sentences) if sentences else {}
-                worst = sorted(((values[w], w) for u in sentences for w in [max(u, key=values.__getitem__)]),
+                # a document's own windows too: an insult may run over a line end
+                parts = [text, *SENTENCE.split(text)] if toxic else SENTENCE.split(text)
+                worst = sorted(((v, w) for v, w in zip(*_worst_units(parts, machine, known), strict=True) if w),
                                reverse=True)
                 rows += [(letters(w)[:LONGEST], value, toxic, check, i)
                          for i, (value, w) in enumerate(worst[:1 if toxic else 3])]
@@ -300,14 +339,24 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_colu
         return Machine(None, prior=float(bool(sizes.get(True))))
     odds = F.log((F.col("bad") + 0.5) / (sizes[True] + 1)) - F.log((F.col("good") + 0.5) / (sizes[False] + 1))
     counts = durable(_word_counts(sample).withColumn("odds", odds))
-    marked = counts.where("bad >= 3 and odds > 1.5").orderBy(F.desc(F.col("bad") * F.col("odds")), "word").limit(1500)
-    usual = counts.where("good > 0 and odds < 0.5").orderBy(F.desc("good"), F.xxhash64("word")).limit(HARD_WORDS // 2)
-    rare = counts.where("good > 0 and bad = 0").orderBy(F.xxhash64("word")).limit(HARD_WORDS // 2)
-    clean_share = {row.word: row.good * sizes[True] / sizes[False] for row in marked.collect()}
+    pair = F.col("word").contains(" ")
+    single, pairs = counts.where(~pair), counts.where(pair)
+    marking = "bad >= 3 and odds > 1.5"
+    strongest = F.desc(F.col("bad") * F.col("odds"))
+    marked = [row for kind in (single, pairs)
+              for row in kind.where(marking).orderBy(strongest, "word").limit(1500).collect()]
+    usual = single.where("good > 0 and odds < 0.5").orderBy(F.desc("good"), F.xxhash64("word")).limit(HARD_WORDS // 2)
+    rare = single.where("good > 0 and bad = 0").orderBy(F.xxhash64("word")).limit(HARD_WORDS // 2)
+    apart = pairs.where("good > 0 and bad = 0").orderBy(F.xxhash64("word")).limit(HARD_WORDS // 4)
+    alone = {row.word for row in marked if " " not in row.word}
+    # a pair is wanted only where its words are harmless one by one
+    clean_share = {row.word: row.good * sizes[True] / sizes[False] for row in marked
+                   if row.word in alone or not alone.intersection(row.word.split())}
     bad = marking_words(_holding(sample, set(clean_share)), clean_share)
     if not bad:
-        bad = {row.word: 1.0 for row in counts.where("bad > 0").orderBy(F.desc("odds"), "word").limit(50).collect()}
-    clean = [row.word for row in usual.union(rare).collect()]
+        bad = {row.word: 1.0 for row in single.where("bad > 0").orderBy(F.desc("odds"), "word").limit(50).collect()}
+    bad = {word.replace(" ", ""): times for word, times in bad.items()}
+    clean = [row.word.replace(" ", "") for row in usual.union(rare).union(apart).collect()]
     if not bad or not clean:
         return Machine(None, prior=sizes[True] / (sizes[True] + sizes[False]))
     hard: list[str] = []
@@ -348,7 +397,7 @@ def score(df: DataFrame, machine: Machine, id_column: str = "doc_id", text_colum
         for batch in batches:
             for at in range(0, len(batch), 256):
                 part = batch.iloc[at:at + 256]
-                scores, worst = _scores([set(units(text)) for text in part["text"]], machine, known)
+                scores, worst = _scores(part["text"].tolist(), machine, known)
                 yield pd.DataFrame({"id": part["id"].to_numpy(), "score": scores, "worst": worst})
 
     if machine.table is None:
@@ -365,14 +414,42 @@ def without_toxic(df: DataFrame, machine: Machine, least: float, text_column: st
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         known = _Known(machine)
         for batch in batches:
-            yield pd.Series(np.concatenate([_scores([set(units(t)) for t in batch.iloc[at:at + 256]], machine, known)[0]
+            yield pd.Series(np.concatenate([_scores(batch.iloc[at:at + 256].tolist(), machine, known)[0]
                                             for at in range(0, len(batch), 256)] or [np.zeros(0)]))
 
     return df.where(scored(F.coalesce(F.col(text_column).cast("string"), F.lit(""))) < least)
 
 
-def _scores(texts: list[set[str]], machine: Machine, known: _Known) -> tuple[np.ndarray, list[str | None]]:
-    """Scores of texts given as their units, and the worst unit of each."""
-    values = known.of(texts)
-    worst = [max(text, key=values.__getitem__) if text else None for text in texts]
-    return machine.score(np.array([values[w] if w else machine.offset for w in worst])), worst
+def _worst_units(texts: list[str], machine: Machine, known: _Known) -> tuple[list[float], list[str | None]]:
+    """Value and worst unit of each text; without units the value of a word that resembles nothing, and None."""
+    found = [set(units(text)) for text in texts]
+    values = known.of(found)
+    worst = [max(u, key=values.__getitem__) if u else None for u in found]
+    best = np.array([values[w] if w else machine.offset for w in worst])
+    written, plain, owner = [], [], []
+    for k, text in enumerate(texts):
+        for word in text.lower().split():
+            if bare := letters(word):
+                written.append(word)
+                plain.append(bare[:LONGEST + 1])
+                owner.append(k)
+    owner = np.array(owner, dtype=np.int64)
+    for at in range(0, len(plain), CHUNK):
+        end = at + CHUNK + JOINED - 1
+        windows: dict[str, set[int]] = {}
+        for size, first, bound in machine.window_bounds(plain[at:end], owner[at:end]):
+            for i in (first[bound > best[owner[at:end][first]]] + at).tolist():
+                windows.setdefault(" ".join(written[i:i + size]), set()).add(int(owner[i]))
+        if windows:
+            names = list(windows)
+            for name, value in zip(names, machine.values([letters(w) for w in names]).tolist(), strict=True):
+                for k in windows[name]:
+                    if value > best[k]:
+                        best[k], worst[k] = value, name
+    return best.tolist(), worst
+
+
+def _scores(texts: list[str], machine: Machine, known: _Known) -> tuple[np.ndarray, list[str | None]]:
+    """Scores and worst units of texts."""
+    values, worst = _worst_units(texts, machine, known)
+    return machine.score(np.array(values)), worst

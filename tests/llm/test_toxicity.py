@@ -86,6 +86,39 @@ def test_learns_insults_and_tolerates_insertions(spark, docs, corpus):
     assert {r.doc_id for r in kept.collect()} == {i for i, s, _ in got if i is not None and i < 240 and s < 0.7}
 
 
+def test_gaps_that_are_spaces_and_phrases(spark, docs, corpus):
+    random.seed(5)
+    rows = [(i, t, y) for i, t, y in corpus]
+    for i in range(240, 400):  # dark and moon are in clean documents too, but not side by side
+        words = random.choice(rows[1:240:3])[1].split()
+        if i % 2:
+            words[2:2] = ["dark", "moon"]
+        else:
+            words.insert(1, "moon")
+            words.append("dark")
+        rows.append((i, " ".join(words), i % 2))
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    machine = toxicity.fit(docs(*[r[:2] for r in rows]), labels)
+    texts = ["ta ri worth less mo", "ri worth\nless", "ta i - d - i - o - t ri", "ta scu mb ag ri", "ri dark moon ta"]
+    got = {r.doc_id: r.score for r in toxicity.score(docs(*enumerate(texts), (9, "ta dark ri mo moon")), machine).collect()}
+    assert [k for k in range(5) if got[k] < 0.7] == [] and got[9] < 0.7
+
+
+def test_bounds_of_windows_hold_and_the_worst_window_is_found():
+    random.seed(6)
+    words = ["idiot", "moron", "table", "chair", "window", "garden", "yellow", "morning"]
+    machine = toxicity._train(words, np.array([1.0] * 2 + [-1.0] * 6), np.ones(8), words)
+    texts = [["".join(random.choice("idotmrn") for _ in range(random.randint(1, 9))) for _ in range(30)] for _ in range(20)]
+    plain, owner = sum(texts, []), np.repeat(np.arange(20), 30)
+    for size, first, bound in machine.window_bounds(plain, owner):
+        values = machine.values(["".join(plain[i:i + size]) for i in first])
+        assert (values <= bound).all() and len(first) > 300
+    got = toxicity._worst_units([" ".join(t) for t in texts], machine, toxicity._Known(machine))[0]
+    for t, value in zip(texts, got, strict=True):
+        joined = ["".join(t[i:i + n]) for n in range(1, 5) for i in range(31 - n)]
+        assert abs(max(machine.values([w for w in joined if len(w) <= 32])) - value) < 1e-6
+
+
 def test_one_class_no_labels_and_empty(spark, docs):
     df = docs((1, "a b"), (2, None))
     for rows, prior in (([(1, 0)], 0.0), ([(1, 1)], 1.0), ([], 0.0)):
