@@ -406,9 +406,12 @@ def score(df: DataFrame, machine: Machine, id_column: str = "doc_id", text_colum
 
 
 def without_toxic(df: DataFrame, machine: Machine, least: float, text_column: str = "text") -> DataFrame:
-    """Rows of ``df`` whose text scores below ``least``; columns as they are, no shuffle."""
+    """Rows of ``df`` whose text scores below ``least``; columns as they are, no shuffle.
+
+    A machine that could not be trained tells no text from another: all rows stay.
+    """
     if machine.table is None:
-        return df if machine.prior < least else df.limit(0)
+        return df
 
     @F.pandas_udf("double")
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

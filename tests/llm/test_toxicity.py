@@ -125,3 +125,10 @@ def test_one_class_no_labels_and_empty(spark, docs):
         machine = toxicity.fit(df, spark.createDataFrame(rows, "doc_id long, toxic int"))
         assert [r.score for r in toxicity.score(df, machine).collect()] == [prior] * 2
     assert toxicity.score(df.limit(0), machine).collect() == []
+
+
+def test_untrained_machine_keeps_all_rows(spark, docs):
+    df = docs((1, "a b"), (2, None))
+    for rows in ([(1, 1)], [(1, 0)], [(1, 1), (2, 1)], []):
+        machine = toxicity.fit(df, spark.createDataFrame(rows, "doc_id long, toxic int"))
+        assert {r.doc_id for r in toxicity.without_toxic(df, machine, 0.7).collect()} == {1, 2}
