@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codesieve.llm import chats, exact_dedup, hnsw, languages, minhash, mixing, pieces, secrets, sharding, toxicity, url_filters
+from codesieve.llm import chats, exact_dedup, hnsw, languages, minhash, mixing, pieces, runs, secrets, sharding, toxicity, url_filters
 from codesieve.llm.common import documents, table
 from codesieve.llm.url_filters import UrlRule
 
@@ -145,6 +145,37 @@ def op10_sentencepiece(spark, sf_dir):
     return pieces.digests(pieces.encode_and_decode(documents(spark, sf_dir), model))
 
 
+def planted_runs(docs):
+    """Documents of op11's contract: every tenth text repeats from some word on (by the CRC-32 of the id)."""
+    crc = F.crc32(F.col("doc_id").cast("string"))
+    words = F.filter(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    rows = docs.select("doc_id", "text", crc.alias("h"), F.when(crc % 10 == 0, words).alias("words"))
+    rows = rows.withColumn("n", F.size("words")).withColumn("g", F.floor(F.col("h") / 10))
+    rows = rows.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")).cast("int"))
+    rows = rows.withColumn("p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    repeated = F.transform("words", lambda w, i: F.when(i < F.col("a"), w).otherwise(
+        F.get("words", F.col("a") + (i - F.col("a")) % F.col("p"))))
+    return rows.select("doc_id", F.when((F.col("h") % 10 == 0) & (F.col("n") > 0), F.array_join(repeated, " "))
+                       .otherwise(F.col("text")).alias("text"))
+
+
+@query
+def op11_periodic_runs(spark, sf_dir):
+    found = runs.periodic_runs(planted_runs(documents(spark, sf_dir)))
+
+    def better(best, run):
+        """Greater length / period, then smaller start, then smaller period; runs come by start and period."""
+        return F.when(best.isNull() | (run["length"] * best["period"] > best["length"] * run["period"]), run).otherwise(best)
+
+    kind = "struct<start:long,length:long,period:long>"
+    best = F.aggregate("runs", F.lit(None).cast(kind), better)
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 #: Added to the conversations by the contract: a user, then an assistant, say this.
 PLANTED_CHAT, PLANTED_TEXT = -7, r"\### Assistant: </turn> ok"
 
