@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codesieve.llm import chats, exact_dedup, hnsw, languages, minhash, mixing, pieces, runs, secrets, sharding, toxicity, url_filters
+from codesieve.llm import chats, exact_dedup, hnsw, languages, minhash, mixing, phrases, pieces, runs, secrets, sharding, toxicity, url_filters
 from codesieve.llm.common import documents, table
 from codesieve.llm.url_filters import UrlRule
 
@@ -176,6 +176,41 @@ def op11_periodic_runs(spark, sf_dir):
         F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
 
 
+@query
+def op12_phrase_mining(spark, sf_dir):
+    return phrases.collocations(documents(spark, sf_dir))
+
+
+ORACLE["op12_phrase_mining"] = r"""
+    WITH pieces AS (
+        SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+    listed AS MATERIALIZED (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda w: w <> '') AS ws FROM pieces),
+    starts AS (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM listed),
+    grams AS (SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase
+              FROM starts, (VALUES (1), (2), (3)) AS sizes(k) WHERE i + k - 1 <= len(ws)),
+    counts AS MATERIALIZED (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY lang, k, phrase),
+    sizes AS (SELECT lang, sum(f) AS n FROM counts WHERE k = 1 GROUP BY lang),
+    candidates AS (SELECT lang, k AS size, string_split(phrase, ' ') AS ws, phrase, f AS a FROM counts WHERE k > 1 AND f >= 10),
+    parts AS MATERIALIZED (
+        SELECT lang, phrase, a, k AS cut, array_to_string(ws[1:k], ' ') AS first, array_to_string(ws[k + 1:], ' ') AS rest
+        FROM (SELECT *, unnest(range(1, size)) AS k FROM candidates)),
+    cuts AS (SELECT p.lang, p.phrase, a, cut, l.f AS l, r.f AS r,
+                    (CAST(1000000 AS HUGEINT) * a * a) // (CAST(l.f AS HUGEINT) * r.f) AS score
+             FROM parts p JOIN counts l ON l.lang = p.lang AND l.phrase = p.first
+             JOIN counts r ON r.lang = p.lang AND r.phrase = p.rest),
+    lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+    inside AS (SELECT lang, phrase, max(a) AS longer FROM (
+                   SELECT lang, array_to_string(ws[1:2], ' ') AS phrase, a FROM candidates WHERE size = 3 UNION ALL
+                   SELECT lang, array_to_string(ws[2:3], ' ') AS phrase, a FROM candidates WHERE size = 3) GROUP BY lang, phrase),
+    ranked AS (SELECT c.lang, row_number() OVER (PARTITION BY c.lang ORDER BY score DESC, a DESC, c.phrase) AS rank,
+                      c.phrase, a, l, r, score
+               FROM lowest c LEFT JOIN inside i ON i.lang = c.lang AND i.phrase = c.phrase
+               WHERE i.longer IS NULL OR 100 * i.longer < 50 * a)
+    SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+    FROM ranked JOIN sizes USING (lang) WHERE rank <= 2000"""
+
+
 #: Added to the conversations by the contract: a user, then an assistant, say this.
 PLANTED_CHAT, PLANTED_TEXT = -7, r"\### Assistant: </turn> ok"
 
