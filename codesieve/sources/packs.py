@@ -15,17 +15,18 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codesieve.sources.rules import JAVA_SPELLING_SQL
+from codesieve.sources.dialect import java_spelling
 
 REQUIRED = ["id", "name", "regex", "vulnerability_type", "severity_score"]
 
 
 def regex_compiles(regex: Column) -> Column:
-    """True where the regex, spelled as the scan spells it, is one for the JVM, which runs it."""
-    spelled = regex
-    for pattern, replacement in JAVA_SPELLING_SQL:
-        spelled = F.regexp_replace(spelled, F.lit(pattern), F.lit(replacement))
-    compiled = F.try_reflect(F.lit("java.util.regex.Pattern"), F.lit("compile"), F.concat(F.lit("(?d)"), spelled))
+    """True where the regex is one of the packs' dialect and the JVM, which runs it, takes what the scan prints for it."""
+    @F.pandas_udf("string")
+    def spelled(regexes: pd.Series) -> pd.Series:
+        return regexes.map(lambda text: None if text is None else java_spelling(text))
+
+    compiled = F.try_reflect(F.lit("java.util.regex.Pattern"), F.lit("compile"), spelled(regex))
     return regex.isNotNull() & compiled.isNotNull()
 
 

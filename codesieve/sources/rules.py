@@ -9,13 +9,7 @@ from dataclasses import dataclass, fields
 from pyspark.sql import DataFrame, SparkSession
 
 from codesieve.schemas import PATTERNS
-
-try:
-    from re import _constants as ops
-    from re import _parser as regex_tree
-except ImportError:  # Python 3.10
-    import sre_constants as ops
-    import sre_parse as regex_tree
+from codesieve.sources.dialect import ATOMIC, REPEATS, java_spelling, nodes, ops, parsed
 
 
 @dataclass(frozen=True)
@@ -36,42 +30,11 @@ class Rule:
         return required_texts(self.regex, unicode)
 
     def java_regex(self, unicode: bool = False, whole_text: bool = False) -> str:
-        """The regex for Java: newline is the only line end, group names are spelled the Java way.
-
-        ``whole_text`` lets ``^`` and ``$`` match at every line; for a single line they need no help (and Java
-        would not let ``^`` match an empty one).  ``unicode`` widens ``\\w``, ``\\s``, ``\\b`` beyond ASCII.
-        """
-        body = self.regex
-        for pattern, replacement in JAVA_SPELLING:
-            body = re.sub(pattern, replacement, body)
-        flags = "d" + ("m" if whole_text else "") + ("U" if unicode else "")
-        return f"(?{flags}){body}"
-
-
-# How Java spells what packs write otherwise, as (regex, replacement with $1): comments are left out, and group
-# names too, which Java wants without underscores; groups keep their numbers.  A name that is referred to stays.
-JAVA_SPELLING_SQL = [(r"\(\?#[^)]*\)", ""), (r"\(\?P<\w+>(?!.*\(\?P=)", "("), (r"\(\?P<(\w+)>", "(?<$1>"),
-                     (r"\(\?P=(\w+)\)", r"\\k<$1>")]
-JAVA_SPELLING = [(pattern, replacement.replace("$1", r"\1")) for pattern, replacement in JAVA_SPELLING_SQL]
-
-
-def reads_differently(regex: str) -> bool:
-    """True if Java may read a character class of ``regex`` otherwise than the parser here: nested or intersected."""
-    inside, i = False, 0
-    while i < len(regex):
-        char = regex[i]
-        if char == "\\":
-            i += 1
-        elif inside:
-            if char == "[" or regex.startswith("&&", i):
-                return True
-            inside = char != "]"
-        elif char == "[":
-            inside = True
-            i += regex.startswith("[^", i)
-            i += regex.startswith("]", i + 1)
-        i += 1
-    return False
+        """The regex printed for Java (``dialect.java_spelling``)."""
+        spelled = java_spelling(self.regex, unicode, whole_text)
+        if spelled is None:
+            raise ValueError(f"rule {self.id}: not a regular expression: {self.regex!r}")
+        return spelled
 
 
 # A literal this long is selective on its own; shorter ones are combined with up to two more.
@@ -85,11 +48,8 @@ def required_texts(regex: str, unicode: bool = False) -> tuple[tuple[frozenset[s
 
     A wrong literal would lose findings, so whatever is not plainly understood contributes none.
     """
-    if reads_differently(regex):
-        return (), False
-    try:
-        tree = regex_tree.parse(regex)
-    except (re.error, RecursionError, OverflowError):
+    tree = parsed(regex)
+    if tree is None:
         return (), False
     ignore_case = bool(tree.state.flags & re.IGNORECASE)
     if _changes_case(tree) or (ignore_case and unicode):
@@ -109,42 +69,20 @@ def _selectivity(group: frozenset[str]) -> tuple[int, int, list[str]]:
 
 def _changes_case(tree: Iterable) -> bool:
     """True if a group switches case sensitivity on or off."""
-    for op, arg in tree:
-        if op is ops.SUBPATTERN and (arg[1] | arg[2]) & re.IGNORECASE:
-            return True
-        children = []
-        if op is ops.SUBPATTERN:
-            children = [arg[3]]
-        elif op is ops.BRANCH:
-            children = arg[1]
-        elif op in _REPEATS:
-            children = [arg[2]]
-        if any(_changes_case(child) for child in children):
-            return True
-    return False
+    return any(op is ops.SUBPATTERN and (arg[1] | arg[2]) & re.IGNORECASE for op, arg in nodes(tree))
 
 
 def spans_lines(regex: str) -> bool:
     """True if ``regex`` asks for a newline, so that single lines cannot show all its matches."""
-    try:
-        return _has_newline(regex_tree.parse(regex))
-    except (re.error, RecursionError, OverflowError):
-        return r"\n" in regex
+    tree = parsed(regex)
+    return tree is not None and _has_newline(tree)
 
 
 def _has_newline(tree: Iterable) -> bool:
-    for op, arg in tree:
-        if op is ops.LITERAL and arg == 10:
-            return True
-        if op is ops.IN and arg[0][0] is not ops.NEGATE and (ops.LITERAL, 10) in arg:
-            return True
-        children = [arg[3]] if op is ops.SUBPATTERN else arg[1] if op is ops.BRANCH else [arg[2]] if op in _REPEATS else []
-        if any(_has_newline(child) for child in children):
-            return True
-    return False
+    return any(op is ops.LITERAL and arg == 10 or op is ops.IN and arg[0][0] is not ops.NEGATE and (ops.LITERAL, 10) in arg
+               for op, arg in nodes(tree))
 
 
-_REPEATS = {ops.MAX_REPEAT, ops.MIN_REPEAT, getattr(ops, "POSSESSIVE_REPEAT", ops.MAX_REPEAT)}
 _ZERO_WIDTH = {ops.AT, ops.ASSERT, ops.ASSERT_NOT}
 
 
@@ -163,7 +101,9 @@ def _required(tree: Iterable, unicode: bool) -> list[frozenset[str]]:
             run = ""
         if op is ops.SUBPATTERN:
             groups += _required(arg[3], unicode)
-        elif op in _REPEATS and arg[0] >= 1:
+        elif op.name == ATOMIC:
+            groups += _required(arg, unicode)
+        elif op.name in REPEATS and arg[0] >= 1:
             groups += _required(arg[2], unicode)
         elif op is ops.BRANCH:
             options = [_required(option, unicode) for option in arg[1]]
