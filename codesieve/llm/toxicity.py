@@ -4,7 +4,8 @@ The kernel of two words sums, over the three-letter subsequences they share, ``D
 (spans of at most ``SPAN`` letters), and is normalised.  Insults with letters put in or left out thus stay near.  A
 machine is trained on sentences of a bounded sample of labelled documents.  It begins with few words that mark the toxic
 documents; then a sentence stands for its worst word, a toxic document for its worst sentence, a clean one for its
-three worst (which makes them hard examples), and it is trained anew.  Words are mapped to the space that the kernel
+three worst (which makes them hard examples), and it is trained anew.  Marking words also are examples with a letter put in at each
+place.  Words are mapped to the space that the kernel
 with ``LANDMARKS`` landmark words spans.  Since a kernel value is a sum over
 subsequences, the trained machine is folded into one weight per subsequence; a word's value is the same as with the
 landmarks.  A text's score is the calibrated value of its worst unit: a word, a run of letters spelled out, or a window
@@ -17,6 +18,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from zlib import crc32
 
 import numpy as np
 import pandas as pd
@@ -49,8 +51,9 @@ SENTENCE = re.compile(r"(?<=[.!?])\s+|\n")
 
 _PATTERNS = [(i, j) for j in range(2, SPAN) for i in range(1, j)]
 _WEIGHTS = np.array([DECAY ** (j + 1) for _, j in _PATTERNS])
-#: Least norm of so many letters.
+#: Norm of so many letters if no subsequence repeats, and if all are the same.
 _LEAST_NORM = np.sqrt([sum(max(0, n - j) * DECAY ** (2 * j + 2) for _, j in _PATTERNS) for n in range(LONGEST + 1)])
+_MOST_NORM = np.array([sum(max(0, n - j) * DECAY ** (j + 1) for _, j in _PATTERNS) for n in range(LONGEST + 1)])
 
 
 def letters(word: str) -> str:
@@ -148,19 +151,25 @@ class Machine:
             np.maximum.at(best, [owner[k] for k in some], found)
         return np.where(np.isfinite(best), best, out)
 
-    def window_bounds(self, words: list[str], owner: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    def window_bounds(self, words: list[str], lengths: np.ndarray, owner: np.ndarray
+                      ) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """Per size: the first words of all windows inside one text, and what their values do not exceed."""
-        lengths = np.array([len(w) for w in words])
         ends = np.cumsum(lengths)
         n = int(ends[-1])
         codes = np.pad(_numbers("".join(words)), (0, SPAN))
-        upto = np.zeros((n, SPAN), dtype=np.float32)  # of the subsequences from a letter on, by their last letter
+        first = codes[:n] * CODES
+        upto = np.zeros((SPAN, n), dtype=np.float32)  # of the subsequences from a letter on, by their last letter
+        pairs = [(first + codes[i:i + n]) * CODES for i in range(1, SPAN - 1)]
         for j in range(2, SPAN):
             last = codes[j:j + n]
-            found = sum(self.table[(codes[:n] * CODES + codes[i:i + n]) * CODES + last] for i in range(1, j))
-            upto[:, j] = upto[:, j - 1] + np.where(last > 0, found, 0) * np.float32(DECAY ** (j + 1))
-        before = np.concatenate([[0.0], np.cumsum(upto[:, -1], dtype=np.float64)])
-        for size in range(2, JOINED + 1):
+            found = self.table[pairs[0] + last]
+            for i in range(2, j):
+                found += self.table[pairs[i - 1] + last]
+            found[last == 0] = 0
+            np.multiply(found, np.float32(DECAY ** (j + 1)), out=found)
+            np.add(upto[j - 1], found, out=upto[j])
+        before = np.concatenate([[0.0], np.cumsum(upto[-1], dtype=np.float64)])
+        for size in range(1, JOINED + 1):
             if len(words) < size:
                 return
             start, end = (ends - lengths)[:len(words) - size + 1], ends[size - 1:]
@@ -168,25 +177,27 @@ class Machine:
             start, end = start[good], end[good]
             total = before[np.maximum(start, end - SPAN + 1)] - before[start]
             for k in range(3, SPAN):
-                total += np.where(end - k >= start, upto[np.maximum(end - k, 0), k - 1], 0)
-            yield size, good, self.offset + np.maximum(total, 0) / _LEAST_NORM[end - start] + 1e-4
+                total += np.where(end - k >= start, upto[k - 1][np.maximum(end - k, 0)], 0)
+            norm = np.where(total > 0, _LEAST_NORM[end - start], _MOST_NORM[end - start])
+            yield size, good, self.offset + total / norm + 1e-4
 
     def score(self, value: np.ndarray) -> np.ndarray:
         return 1.0 / (1.0 + np.exp(-np.clip(self.slope * value + self.shift, -500, 500)))
 
 
-class _Known:
-    """Values of words as written, kept in a bounded memory."""
+class _Bare(dict):
+    """Letters of words as written, kept in a bounded memory."""
 
-    def __init__(self, machine: Machine):
-        self.machine, self.kept = machine, {}
+    def __missing__(self, word: str) -> str:
+        if len(self) >= KEPT_WORDS:
+            self.clear()
+        value = self[word] = letters(word)
+        return value
 
-    def of(self, texts: list[list[str]]) -> dict[str, float]:
-        if len(self.kept) > KEPT_WORDS:
-            self.kept.clear()
-        new = list(set().union(*texts).difference(self.kept))
-        self.kept.update(zip(new, self.machine.values([letters(w) for w in new]).tolist(), strict=True))
-        return self.kept
+
+def with_inserted(word: str) -> list[str]:
+    """The word with one letter put in, at each inner place; the letter follows from word and place."""
+    return [word[:i] + chr(97 + crc32(f"{i}{word}".encode()) % 26) + word[i:] for i in range(1, len(word))]
 
 
 def _train(words: list[str], labels: np.ndarray, weights: np.ndarray, landmarks: list[str]) -> Machine:
@@ -309,13 +320,13 @@ def _alike(documents: list[set[str]]) -> bool:
 def _worst(sample: DataFrame, machine: Machine) -> pd.DataFrame:
     """Worst word of the worst sentence of each toxic document, of three of each clean one: bounded by the sample."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = _Known(machine)
+        bare = _Bare()
         for batch in batches:
             rows = []
             for text, toxic, check in batch[["text", "toxic", "check"]].itertuples(index=False):
                 # a document's own windows too: an insult may run over a line end
                 parts = [text, *SENTENCE.split(text)] if toxic else SENTENCE.split(text)
-                worst = sorted(((v, w) for v, w in zip(*_worst_units(parts, machine, known), strict=True) if w),
+                worst = sorted(((v, w) for v, w in zip(*_worst_units(parts, machine, bare), strict=True) if w),
                                reverse=True)
                 rows += [(letters(w)[:LONGEST], value, toxic, check, i)
                          for i, (value, w) in enumerate(worst[:1 if toxic else 3])]
@@ -362,9 +373,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_colu
     hard: list[str] = []
     for _ in range(ROUNDS):
         good = [w for w in dict.fromkeys([*hard, *clean]) if w not in bad][:2 * HARD_WORDS]
-        words = [*bad, *good]
-        signs = np.array([1.0] * len(bad) + [-1.0] * len(good))
-        weights = np.concatenate([np.full(len(bad), 0.5 / len(bad)), np.full(len(good), 0.5 / len(good))])
+        gapped = [w for word in bad for w in with_inserted(word) if w not in bad and w not in good]
+        words = [*bad, *gapped, *good]
+        marks = len(bad) + len(gapped)
+        signs = np.array([1.0] * marks + [-1.0] * len(good))
+        weights = np.concatenate([np.full(marks, 0.5 / marks), np.full(len(good), 0.5 / len(good))])
         top = sorted(bad, key=lambda w: (-bad[w], w))[:LANDMARKS // 2]
         machine = _train(words, signs, weights * len(words), [*top, *good[:LANDMARKS - len(top)]])
         worst = _worst(sample, machine)
@@ -378,7 +391,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_colu
     check = first[first["check"]]
     if check["toxic"].sum() < LEAST_CHECKED or (~check["toxic"].astype(bool)).sum() < LEAST_CHECKED:
         check = first
-    _calibrate(machine, check["value"].to_numpy(), check["toxic"].to_numpy(dtype=bool))
+    # A toxic document also stands for itself with a letter more in its worst word.
+    gapped = machine.values([w for word in check.loc[check["toxic"], "word"] for w in with_inserted(word)[1:-1:3]])
+    _calibrate(machine, np.concatenate([check["value"].to_numpy(), gapped]),
+               np.concatenate([check["toxic"].to_numpy(dtype=bool), np.ones(len(gapped), dtype=bool)]))
     return machine
 
 
@@ -393,11 +409,11 @@ def score(df: DataFrame, machine: Machine, id_column: str = "doc_id", text_colum
     kind = rows.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = _Known(machine)
+        bare = _Bare()
         for batch in batches:
             for at in range(0, len(batch), 256):
                 part = batch.iloc[at:at + 256]
-                scores, worst = _scores(part["text"].tolist(), machine, known)
+                scores, worst = _scores(part["text"].tolist(), machine, bare)
                 yield pd.DataFrame({"id": part["id"].to_numpy(), "score": scores, "worst": worst})
 
     if machine.table is None:
@@ -415,44 +431,73 @@ def without_toxic(df: DataFrame, machine: Machine, least: float, text_column: st
 
     @F.pandas_udf("double")
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        known = _Known(machine)
+        bare = _Bare()
         for batch in batches:
-            yield pd.Series(np.concatenate([_scores(batch.iloc[at:at + 256].tolist(), machine, known)[0]
+            yield pd.Series(np.concatenate([_scores(batch.iloc[at:at + 256].tolist(), machine, bare)[0]
                                             for at in range(0, len(batch), 256)] or [np.zeros(0)]))
 
     return df.where(scored(F.coalesce(F.col(text_column).cast("string"), F.lit(""))) < least)
 
 
-def _worst_units(texts: list[str], machine: Machine, known: _Known) -> tuple[list[float], list[str | None]]:
-    """Value and worst unit of each text; without units the value of a word that resembles nothing, and None."""
-    found = [set(units(text)) for text in texts]
-    values = known.of(found)
-    worst = [max(u, key=values.__getitem__) if u else None for u in found]
-    best = np.array([values[w] if w else machine.offset for w in worst])
-    written, plain, owner = [], [], []
+def _worst_units(texts: list[str], machine: Machine, bare: _Bare) -> tuple[list[float], list[str | None]]:
+    """Value and worst unit of each text; without units the value of a word that resembles nothing, and None.
+
+    Words and windows whose bounds are highest are worked out first; most others then lie below what their text has.
+    """
+    best, worst = np.full(len(texts), -np.inf), np.full(len(texts), None, dtype=object)
+    written, sizes, spelled = [], np.zeros(len(texts), dtype=np.int64), []
     for k, text in enumerate(texts):
-        for word in text.lower().split():
-            if bare := letters(word):
-                written.append(word)
-                plain.append(bare[:LONGEST + 1])
-                owner.append(k)
-    owner = np.array(owner, dtype=np.int64)
-    for at in range(0, len(plain), CHUNK):
-        end = at + CHUNK + JOINED - 1
-        windows: dict[str, set[int]] = {}
-        for size, first, bound in machine.window_bounds(plain[at:end], owner[at:end]):
-            for i in (first[bound > best[owner[at:end][first]]] + at).tolist():
-                windows.setdefault(" ".join(written[i:i + size]), set()).add(int(owner[i]))
-        if windows:
-            names = list(windows)
-            for name, value in zip(names, machine.values([letters(w) for w in names]).tolist(), strict=True):
-                for k in windows[name]:
-                    if value > best[k]:
-                        best[k], worst[k] = value, name
-    return best.tolist(), worst
-
-
-def _scores(texts: list[str], machine: Machine, known: _Known) -> tuple[np.ndarray, list[str | None]]:
+        text = text.lower()
+        words = text.split()
+        written += words
+        sizes[k] = len(words)
+        spelled += [(k, m.group()) for m in SPELLED.finditer(text)]
+
+    def judge(owners: list[int], names: list[str], plain: list[str]) -> None:
+        for k, name, value in zip(owners, names, machine.values(plain).tolist(), strict=True):
+            if value > best[k]:
+                best[k], worst[k] = value, name
+
+    plain = list(map(bare.__getitem__, written))
+    lengths = np.fromiter(map(len, plain), dtype=np.int64, count=len(plain))
+    owner = np.repeat(np.arange(len(texts)), sizes)
+    # A word of one or two letters, or none, resembles nothing; no text is below such a word that it has.
+    short = np.flatnonzero(lengths < 3)
+    for i in short[np.unique(owner[short], return_index=True)[1]].tolist():
+        best[owner[i]], worst[owner[i]] = machine.offset, written[i]
+    long = np.flatnonzero(lengths > LONGEST).tolist()
+    judge([k for k, _ in spelled] + owner[long].tolist(), [w for _, w in spelled] + [written[i] for i in long],
+          [letters(w) for _, w in spelled] + [plain[i] for i in long])
+    some = np.flatnonzero(lengths)
+    for at in range(0, len(some), CHUNK):
+        part = some[at:at + CHUNK + JOINED - 1]
+        words = [plain[i][:LONGEST + 1] for i in part.tolist()]
+        _judge_windows(machine, words, np.minimum(lengths[part], LONGEST + 1), owner[part],
+                       [written[i] for i in part.tolist()], best, judge)
+    best[np.isneginf(best)] = machine.offset
+    return best.tolist(), worst.tolist()
+
+
+def _judge_windows(machine: Machine, words: list[str], lengths: np.ndarray, owner: np.ndarray, written: list[str],
+                   best: np.ndarray, judge) -> None:
+    """Works out the windows that may be worse than the worst of their text, those with the highest bounds first."""
+    found = [(np.full(len(first), size), first, bound) for size, first, bound in machine.window_bounds(words, lengths, owner)]
+    size, first, bound = (np.concatenate(column) for column in zip(*found, strict=True))
+    whose = owner[first]
+    open_ = np.flatnonzero(bound > best[whose])
+    open_ = open_[np.lexsort((-bound[open_], whose[open_]))]
+    at_once = 1
+    while len(open_):
+        heads = np.ones(len(open_), dtype=bool)  # the next few of each text
+        heads[at_once:] = whose[open_[at_once:]] != whose[open_[:-at_once]]
+        at_once *= 2
+        now = [(int(first[i]), int(first[i] + size[i]), int(whose[i])) for i in open_[heads].tolist()]
+        judge([k for _, _, k in now], [" ".join(written[a:b]) for a, b, _ in now], ["".join(words[a:b]) for a, b, _ in now])
+        open_ = open_[~heads]
+        open_ = open_[bound[open_] > best[whose[open_]]]
+
+
+def _scores(texts: list[str], machine: Machine, bare: _Bare) -> tuple[np.ndarray, list[str | None]]:
     """Scores and worst units of texts."""
-    values, worst = _worst_units(texts, machine, known)
+    values, worst = _worst_units(texts, machine, bare)
     return machine.score(np.array(values)), worst

@@ -86,6 +86,18 @@ def test_learns_insults_and_tolerates_insertions(spark, docs, corpus):
     assert {r.doc_id for r in kept.collect()} == {i for i, s, _ in got if i is not None and i < 240 and s < 0.7}
 
 
+def test_one_letter_at_every_inner_place(spark, docs, corpus):
+    machine = toxicity.fit(docs(*[(i, t) for i, t, _ in corpus]),
+                           spark.createDataFrame([(i, y) for i, _, y in corpus], "doc_id long, toxic int"))
+    texts = [f"ta ri {word[:i]}{letter}{word[i:]} mo" for word in ("scumbag", "worthless", "idiot")
+             for i in range(1, len(word)) for letter in "xqz"]
+    scores = toxicity._scores(texts, machine, toxicity._Bare())[0]
+    missed = [t for t, s in zip(texts, scores, strict=True) if s < 0.7]
+    assert missed == []
+    clean = [t for i, t, y in corpus if not y]
+    assert (toxicity._scores(clean, machine, toxicity._Bare())[0] < 0.7).all()
+
+
 def test_gaps_that_are_spaces_and_phrases(spark, docs, corpus):
     random.seed(5)
     rows = [(i, t, y) for i, t, y in corpus]
@@ -110,10 +122,10 @@ def test_bounds_of_windows_hold_and_the_worst_window_is_found():
     machine = toxicity._train(words, np.array([1.0] * 2 + [-1.0] * 6), np.ones(8), words)
     texts = [["".join(random.choice("idotmrn") for _ in range(random.randint(1, 9))) for _ in range(30)] for _ in range(20)]
     plain, owner = sum(texts, []), np.repeat(np.arange(20), 30)
-    for size, first, bound in machine.window_bounds(plain, owner):
+    for size, first, bound in machine.window_bounds(plain, np.array([len(w) for w in plain]), owner):
         values = machine.values(["".join(plain[i:i + size]) for i in first])
         assert (values <= bound).all() and len(first) > 300
-    got = toxicity._worst_units([" ".join(t) for t in texts], machine, toxicity._Known(machine))[0]
+    got = toxicity._worst_units([" ".join(t) for t in texts], machine, toxicity._Bare())[0]
     for t, value in zip(texts, got, strict=True):
         joined = ["".join(t[i:i + n]) for n in range(1, 5) for i in range(31 - n)]
         assert abs(max(machine.values([w for w in joined if len(w) <= 32])) - value) < 1e-6
