@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import math
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from codesieve.session import durable
 
-__all__ = ["documents", "durable", "indexed", "spread_key", "table"]
+__all__ = ["documents", "durable", "hand_back", "indexed", "spread_key", "table"]
 
 
 def table(spark, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +24,15 @@ def documents(spark, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
+def hand_back() -> None:
+    """Give memory that a worker no longer uses back to the system: the process waits for other stages' work."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def spread_key(column: Column) -> Column:
     """Text that puts ids into a fixed random order: the same in every engine that has MD5."""
     return F.md5(F.coalesce(column.cast("string"), F.lit("")))

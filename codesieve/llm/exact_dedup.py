@@ -1,13 +1,19 @@
 """Exact duplicates of whole texts by two passes over a Bloom filter; DataFrame functions only.
 
-Pass one counts, per cell of a Bloom filter, how many texts set it, and keeps the cells set at least twice.
-Pass two probes every text: only if all its cells were set twice can the text be repeated.  Only such rows are
-shuffled by their digest; all others pass straight through.  Each text sets ``CELLS`` cells of one 64-bit word,
-so that a probe is one equality join with the words.
+Each text sets ``CELLS`` cells of one 64-bit word of a Bloom filter.  Pass one counts the texts of each word and set of cells,
+combined before they are shuffled, and keeps in the filter only cells that some set of them had twice: equal texts set equal
+cells.  Pass two probes every text: only if all its cells are in the filter can the text be repeated.  Only such rows are
+shuffled by their digest; all others pass straight through.
+
+The plan is the same at every size.  The filter has at most ``MOST_WORDS`` words and is broadcast (one row of 16 bytes a word);
+since only repeated texts fill it, it tells single texts apart up to some 10^8 repeated ones.  Beyond, it lets more and more
+single rows through to the shuffle; results do not change.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,8 +23,8 @@ from codesieve.operators.partitioning import join_hot
 #: Pattern of the white space that is folded to one space: fixed by the contract.
 BLANKS = r"[\x20\x09-\x0D]+"
 CELLS = 3
-#: A filter of at most so many words (8 MB of bits) is broadcast; a larger one is joined by a shuffle of digests.
-BROADCAST_WORDS = 1 << 20
+#: Words of a filter at most: 32 MB with their numbers.
+MOST_WORDS = 1 << 21
 
 
 def normalised(text: Column) -> Column:
@@ -39,28 +45,28 @@ def _bit(cell: Column) -> Column:
     return F.call_function("shiftleft", F.lit(1).cast("long"), cell.cast("int"))
 
 
+def _mask(digest: Column) -> Column:
+    return reduce(lambda x, y: x.bitwiseOR(y), [_bit(cell) for cell in _cells(digest)])
+
+
 def repeated_cells(digests: DataFrame, words: int, digest: str = "_digest") -> DataFrame:
-    """Pass one: ``_word``, ``_twice`` (its cells that two or more rows set)."""
-    cells = digests.select(_word(F.col(digest), words).alias("_word"),
-                           F.explode(F.array_distinct(F.array(*_cells(F.col(digest))))).alias("_cell"))
-    twice = cells.groupBy("_word", "_cell").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    return twice.groupBy("_word").agg(F.bit_or(_bit(F.col("_cell"))).alias("_twice"))
+    """Pass one: ``_word``, ``_twice`` (the cells that two or more rows set together)."""
+    masks = digests.select(_word(F.col(digest), words).alias("_word"), _mask(F.col(digest)).alias("_mask"))
+    twice = masks.groupBy("_word", "_mask").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    return twice.groupBy("_word").agg(F.bit_or("_mask").alias("_twice"))
 
 
 def flag_repeated(rows: DataFrame, cells: DataFrame, words: int, digest: str = "_digest") -> DataFrame:
     """Pass two: ``rows`` with ``_maybe``, false only where the digest surely occurs once."""
-    mask = None
-    for cell in _cells(F.col(digest)):
-        mask = _bit(cell) if mask is None else mask.bitwiseOR(_bit(cell))
-    filter_words = F.broadcast(cells) if words <= BROADCAST_WORDS else cells
-    return (rows.withColumn("_word", _word(F.col(digest), words)).join(filter_words, "_word", "left")
+    mask = _mask(F.col(digest))
+    return (rows.withColumn("_word", _word(F.col(digest), words)).join(F.broadcast(cells), "_word", "left")
             .withColumn("_maybe", F.coalesce(F.col("_twice").bitwiseAND(mask) == mask, F.lit(False)))
             .drop("_word", "_twice"))
 
 
 def filter_words(rows: int) -> int:
-    """Words of a filter for so many rows: 16 bits a row."""
-    return power_of_two(max(rows, 256) / 4)
+    """Words of a filter for so many rows: 16 bits a row, up to ``MOST_WORDS``."""
+    return min(power_of_two(max(rows, 256) / 4), MOST_WORDS)
 
 
 def find_duplicates(df: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

@@ -15,7 +15,6 @@ of each bucket: a pair that meets in several buckets is told by these, not by th
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 from hashlib import blake2b
 
 import numpy as np
@@ -25,9 +24,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from codesieve.llm.common import durable, power_of_two
+from codesieve.llm.common import durable, hand_back
 from codesieve.llm.components import connected_components
-from codesieve.llm.exact_dedup import BROADCAST_WORDS, _bit, _cells, _word
+from codesieve.llm.exact_dedup import _mask, _word, filter_words
 from codesieve.operators.partitioning import join_hot
 
 WORDS = 5
@@ -36,6 +35,7 @@ HASHES = BANDS * ROWS
 SIMILAR = 75  # per cent
 LET_THROUGH = 0.6
 BLOCK = 1024
+PART = 512
 KEPT_WORDS = 150_000
 
 _RANDOM = np.random.default_rng(20_240_607)
@@ -90,8 +90,15 @@ def minima(shingles: np.ndarray) -> np.ndarray:
     return low >> np.uint64(32)
 
 
-def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of few rows."""
     for batch in batches:
+        for at in range(0, batch.num_rows, PART):
+            yield batch.slice(at, PART)
+
+
+def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in _parts(batches):
         sizes, digests, lows = [], [], []
         for text in batch.column(1):
             found = shingle_set(text.as_py())
@@ -109,13 +116,16 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             pa.ListArray.from_arrays(offsets, pa.array(buckets.ravel())),
             pa.array([s.tobytes() if full else None for s, full in zip(signatures, filled, strict=True)],
                      type=pa.binary())], names=["id", "n_shingles", "digest", "buckets", "signature"])
-    _HASHES.clear()  # a worker process goes on to other work
+    _HASHES.clear()
+    hand_back()
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in _parts(batches):
         found = [shingle_set(text.as_py()).tobytes() for text in batch.column(1)]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, type=pa.binary())], names=["id", "shingles"])
+    _HASHES.clear()
+    hand_back()
 
 
 def _similar(a: np.ndarray, b: np.ndarray) -> bool:
@@ -213,18 +223,18 @@ def _by_block(work):
                     yield work(rows[~last])
         if waiting is not None and len(waiting):
             yield work(waiting)
+        waiting = None
+        hand_back()
 
     return run
 
 
 def _maybe_in(rows: DataFrame, ids: DataFrame) -> DataFrame:
     """``rows`` with ``_maybe``, false only where the id is surely not among ``ids``: a Bloom filter, no shuffle."""
-    words = power_of_two(max(ids.count(), 256) / 4)
-    mask = reduce(lambda x, y: x.bitwiseOR(y), [_bit(cell) for cell in _cells(F.col("id"))])
+    words, mask = filter_words(ids.count()), _mask(F.col("id"))
     bits = ids.select(_word(F.col("id"), words).alias("_word"), mask.alias("_bits")).groupBy("_word").agg(
         F.bit_or("_bits").alias("_bits"))
-    joined = rows.withColumn("_word", _word(F.col("id"), words)).join(
-        F.broadcast(bits) if words <= BROADCAST_WORDS else bits, "_word", "left")
+    joined = rows.withColumn("_word", _word(F.col("id"), words)).join(F.broadcast(bits), "_word", "left")
     return joined.withColumn("_maybe", F.coalesce(F.col("_bits").bitwiseAND(mask) == mask, F.lit(False))).drop(
         "_word", "_bits")
 

@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from codesieve.llm.common import hand_back
+
 #: Fixed values of the model format.
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
@@ -412,6 +414,9 @@ def encode_and_decode(df: DataFrame, model_path: str, id_column: str = "doc_id",
                     [part.column(0), pa.ListArray.from_arrays(_offsets([len(x) for x in ids]),
                                                               pa.array(np.concatenate(ids))),
                      pa.array(decoded, type=pa.string())], names=["id", "ids", "decoded"])
+        table.parts.clear()
+        table.pairs.clear()
+        hand_back()
 
     rows = df.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
     kind = rows.schema["id"].dataType.simpleString()

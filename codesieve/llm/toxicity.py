@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from codesieve.llm.common import durable
+from codesieve.llm.common import durable, hand_back
 
 DECAY, SPAN = 0.6, 8
 LANDMARKS = 160
@@ -39,7 +39,7 @@ JOINED = 4
 CHUNK = 50_000
 #: Documents of either class set apart for calibration; with fewer the whole sample is taken.
 LEAST_CHECKED = 50
-KEPT_WORDS = 150_000
+KEPT_WORDS = 100_000
 CODES = 64
 
 NOT_LETTERS = re.compile(r"[\W\d_]+")
@@ -144,8 +144,8 @@ class Machine:
                     owner.append(k)
         order = sorted(range(len(pieces)), key=lambda k: len(pieces[k]))
         best = np.full(len(words), -np.inf)
-        for at in range(0, len(order), 2048):
-            some = order[at:at + 2048]
+        for at in range(0, len(order), 512):
+            some = order[at:at + 512]
             numbers, weights = subsequences([pieces[k] for k in some])
             found = (self.table[numbers] * weights).sum(axis=1) + self.offset
             np.maximum.at(best, [owner[k] for k in some], found)
@@ -267,6 +267,7 @@ def _word_counts(sample: DataFrame) -> DataFrame:
             rows = [(word, toxic) for text, toxic in zip(batch["text"], batch["toxic"], strict=True)
                     for word in _words(text)]
             yield pd.DataFrame(rows, columns=["word", "toxic"])
+        hand_back()
 
     return sample.mapInPandas(run, "word string, toxic boolean").groupBy("word").agg(
         F.count_if("toxic").alias("bad"), F.count_if(~F.col("toxic")).alias("good"))
@@ -331,6 +332,7 @@ def _worst(sample: DataFrame, machine: Machine) -> pd.DataFrame:
                 rows += [(letters(w)[:LONGEST], value, toxic, check, i)
                          for i, (value, w) in enumerate(worst[:1 if toxic else 3])]
             yield pd.DataFrame(rows, columns=["word", "value", "toxic", "check", "place"])
+        hand_back()
 
     return sample.mapInPandas(run, "word string, value double, toxic boolean, check boolean, place int").toPandas()
 
@@ -415,6 +417,8 @@ def score(df: DataFrame, machine: Machine, id_column: str = "doc_id", text_colum
                 part = batch.iloc[at:at + 256]
                 scores, worst = _scores(part["text"].tolist(), machine, bare)
                 yield pd.DataFrame({"id": part["id"].to_numpy(), "score": scores, "worst": worst})
+        bare.clear()
+        hand_back()
 
     if machine.table is None:
         return df.select(F.col(id_column), F.lit(machine.prior).alias("score"), F.lit(None).cast("string").alias("worst"))
@@ -435,6 +439,8 @@ def without_toxic(df: DataFrame, machine: Machine, least: float, text_column: st
         for batch in batches:
             yield pd.Series(np.concatenate([_scores(batch.iloc[at:at + 256].tolist(), machine, bare)[0]
                                             for at in range(0, len(batch), 256)] or [np.zeros(0)]))
+        bare.clear()
+        hand_back()
 
     return df.where(scored(F.coalesce(F.col(text_column).cast("string"), F.lit(""))) < least)
 

@@ -56,7 +56,12 @@ def test_filter_never_misses_a_repeated_digest(spark):
     assert counts.where("n = 1 and o").count() < 1500  # the filter lets few single rows through
 
 
-def test_large_filters_are_joined_without_broadcast(docs, monkeypatch):
-    monkeypatch.setattr(exact_dedup, "BROADCAST_WORDS", 1)
-    got = exact_dedup.find_duplicates(docs((1, "a"), (2, "a"), (3, "b")))
-    assert sorted((r.doc_id, r.keep_id) for r in got.collect()) == [(1, 1), (2, 1), (3, 3)]
+def test_one_plan_at_every_size(docs, monkeypatch):
+    """A filter too small for its rows lets more of them through, and loses none; texts are probed without a shuffle."""
+    rows = [(i, f"t{i % 700}" if i % 3 else f"u{i}") for i in range(2100)]
+    want = {(r.doc_id, r.keep_id) for r in exact_dedup.find_duplicates(docs(*rows)).collect()}
+    monkeypatch.setattr(exact_dedup, "MOST_WORDS", 4)
+    assert {(r.doc_id, r.keep_id) for r in exact_dedup.find_duplicates(docs(*rows)).collect()} == want
+    kept = exact_dedup.drop_duplicates(docs(*rows))
+    assert {r.doc_id for r in kept.collect()} == {keep for _, keep in want}
+    assert "Cartesian" not in kept._jdf.queryExecution().toString() and exact_dedup.filter_words(10**12) == 4
