@@ -383,3 +383,7 @@ ORACLE: dict[str, str] = {
         matched_pattern_ids, finding_score, repo_score, combined_score
         FROM queue q WHERE repository_id IN (SELECT id FROM repositories WHERE {KEEP})"""),
 }
+
+# Stored files give what plain ones give.
+ORACLE["context_stored"] = ORACLE["context_join"]
+ORACLE["incremental_stored"] = ORACLE["incremental_scan"]

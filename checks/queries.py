@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,8 +21,10 @@ from codesieve.operators import (
 )
 from codesieve.plans import sast as sast_plan
 from codesieve.plans import triage as triage_plan
+from codesieve.session import shared_folder
 from codesieve.sources import packs, records
 from codesieve.sources.rules import Rule, rules_frame
+from codesieve.sources.stored import store_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -489,6 +492,19 @@ def context_join(spark, sf):
     return context.attach_context(found, there).select("id", "snippet")
 
 
+def _stored(spark, sf):
+    """The source files stored anew in the shared folder."""
+    name = "source_files_" + uuid4().hex
+    return store_files(_files(spark, sf), name, f"{shared_folder(spark)}/{name}", folders=64, buckets=8)
+
+
+@query
+def context_stored(spark, sf):
+    stored = _stored(spark, sf).files()
+    there = stored.where((F.col("repository_id") != "src2") & ~F.startswith("file_path", F.lit("App")))
+    return context.attach_context(_raw(spark, sf), there).select("id", "snippet")
+
+
 @query
 def context_window(spark, sf):
     return context.context_by_window(_files(spark, sf)).select("repository_id", "file_path", "line_number", "snippet")
@@ -691,6 +707,14 @@ def incremental_scan(spark, sf):
     return found.select("id", "repository_id", "file_path", "line_number", "pattern_id")
 
 
+@query
+def incremental_stored(spark, sf):
+    done = table(spark, sf, "local_repositories").where(F.col("scanned")).select("repository_id")
+    repos = repositories.keep_repositories(table(spark, sf, "repositories"))
+    found = triage_plan.scan_repositories(_stored(spark, sf), repos, HYGIENE, done=done)
+    return found.select("id", "repository_id", "file_path", "line_number", "pattern_id")
+
+
 @query
 def triage_end_to_end(spark, sf):
     queue = triage_plan.triage(_files(spark, sf), table(spark, sf, "repositories"), HYGIENE, AS_OF)

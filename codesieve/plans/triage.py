@@ -16,6 +16,7 @@ from codesieve.operators.repositories import detect_frameworks, keep_repositorie
 from codesieve.operators.scan import eligible_files
 from codesieve.operators.tables import not_done
 from codesieve.sources.rules import Rule
+from codesieve.sources.stored import StoredFiles
 
 
 @dataclass(frozen=True)
@@ -49,26 +50,31 @@ def prepare_repositories(
 
 
 def scan_repositories(
-    files: DataFrame, repositories: DataFrame, rules: Sequence[Rule], settings: Settings = Settings(),
+    files: DataFrame | StoredFiles, repositories: DataFrame, rules: Sequence[Rule], settings: Settings = Settings(),
     done: DataFrame | None = None, force: bool = False,
 ) -> DataFrame:
     """Raw findings, with context, of the files of ``repositories`` that are not ``done`` yet (all with ``force``).
 
-    Files of other repositories are left out before any text is matched, by a plain semi join that Spark turns into
-    a broadcast of the ids where they are few.  ``done``: repository_id, and where it has a column ``pack`` only rows
-    of ``settings.pack`` count.
+    Files of other repositories are left out before any text is matched.  ``StoredFiles`` do not open their folders and move
+    no text; with a plain table it is a semi join, which Spark turns into a broadcast of the ids where they are few.
+    ``done``: repository_id, and where it has a column ``pack`` only rows of ``settings.pack`` count.
     """
     ids = repositories.select(F.col("id").alias("repository_id"))
     if done is not None and not force:
         finished = done.where(F.col("pack").eqNullSafe(F.lit(settings.pack))) if "pack" in done.columns else done
         ids = not_done(ids, finished, "repository_id")
-    chosen = eligible_files(files, settings.ignored_paths, settings.skip_hidden, settings.skip_binary)
-    return scan_files(chosen.join(ids, "repository_id", "left_semi"), rules, context=settings.context,
-                      unicode=settings.unicode, strict=settings.strict)
+    def eligible(texts: DataFrame) -> DataFrame:
+        return eligible_files(texts, settings.ignored_paths, settings.skip_hidden, settings.skip_binary)
+
+    if isinstance(files, StoredFiles):
+        chosen = eligible(files.of(ids))
+    else:
+        chosen = eligible(files).join(ids, "repository_id", "left_semi")
+    return scan_files(chosen, rules, context=settings.context, unicode=settings.unicode, strict=settings.strict)
 
 
 def triage(
-    files: DataFrame, repositories: DataFrame, rules: Sequence[Rule], as_of: datetime | Column,
+    files: DataFrame | StoredFiles, repositories: DataFrame, rules: Sequence[Rule], as_of: datetime | Column,
     settings: Settings = Settings(), signals: DataFrame | None = None,
     local_repositories: DataFrame | None = None,
 ) -> DataFrame:
@@ -77,7 +83,8 @@ def triage(
     A repository's share of the score is the same for all findings of a location, so it cannot change who wins
     there: findings are scored by type and path and de-duplicated first, and only winners meet the repositories.
     """
-    repos = prepare_repositories(repositories, as_of, settings, signals, files)
+    texts = files.files() if isinstance(files, StoredFiles) else files
+    repos = prepare_repositories(repositories, as_of, settings, signals, texts)
     found = scan_repositories(files, repos, rules, settings)
     best = deduplicate(score_findings(found))
     queue = review_queue(best, repos) if local_repositories is None else report_rows(best, repos, local_repositories)

@@ -28,13 +28,11 @@ def build_session(app: str = "codesieve", master: str | None = None, **conf: obj
     return builder.getOrCreate()
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Cut ``df``'s lineage with a reliable checkpoint.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share: the one the cluster names in ``spark.checkpoint.dir``, checkpoints included.
 
-    The shared folder is the one the cluster names in ``spark.checkpoint.dir``.  Only a local session
-    without that setting (a test) gets a folder of its own.
+    Only a local session without that setting (a test) gets a folder of its own.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
     if context.getCheckpointDir() is None:
@@ -43,4 +41,10 @@ def durable(df: DataFrame) -> DataFrame:
                 raise ValueError("set spark.checkpoint.dir to a folder all executors share")
             folder = tempfile.mkdtemp(prefix="codesieve-checkpoint-")
         context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """Cut ``df``'s lineage with a reliable checkpoint in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)

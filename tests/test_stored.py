@@ -1,0 +1,102 @@
+"""Stored source files: no text is shuffled, and files of other repositories are not opened."""
+
+import re
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+
+from codesieve.operators.context import attach_context, attach_excerpt
+from codesieve.plans.triage import scan_repositories
+from codesieve.sources.rules import Rule
+from codesieve.sources.stored import open_files, store_files
+
+RULES = [Rule("r", "r", "hit", "xss", 5)]
+
+
+@pytest.fixture(scope="module")
+def files(spark):
+    rows = [(f"r{i % 20}" if i % 3 else "hot", f"src/f{i}.py", "python", f"a {i}\nhit\nb\n" * (i % 4)) for i in range(300)]
+    rows += [(None, "x", "python", "hit"), ("r1", None, "python", "hit"), ("r2", "empty.py", "python", None)]
+    return spark.createDataFrame(rows, "repository_id string, file_path string, language string, content string")
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+@pytest.fixture(scope="module")
+def stored(spark, files, tmp_path_factory):
+    name = "files_" + uuid.uuid4().hex
+    return store_files(files, name, str(tmp_path_factory.mktemp("stored") / "files"), folders=64, buckets=4)
+
+
+def moved(df):
+    """Texts of the nodes below each exchange of the plan that carry a column ``content``."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    text = df._jdf.queryExecution().explainString(df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    assert "Exchange" in plan
+    blocks = re.findall(r"\(\d+\) (?:Exchange|BroadcastExchange)\b[^\n]*\n(Input[^\n]*)", text)
+    assert blocks
+    return [b for b in blocks if "content#" in b]
+
+
+def test_all_files_are_there(files, stored):
+    assert sorted(map(tuple, stored.files().collect()), key=str) == sorted(map(tuple, files.collect()), key=str)
+
+
+def test_context_without_moving_texts(spark, files, stored, no_broadcast):
+    rows = [(str(i), f"r{i % 20}" if i % 3 else "hot", f"src/f{i}.py", 1 + i % 5, "old") for i in range(310)] + [
+        ("n", None, "x", 1, "kept"), ("g", "gone", "x", 1, "kept")]
+    found = spark.createDataFrame(rows, "id string, repository_id string, file_path string, line_number int, snippet string")
+    want = attach_context(found, files, 1)
+    got = attach_context(found, stored.files(), 1)
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+    assert moved(got) == [] and moved(want) != []
+
+
+def test_excerpts_without_moving_texts(spark, files, stored, no_broadcast):
+    rows = [(f"r{i % 20}" if i % 3 else "hot", ("" if i % 2 else "root/") + f"src/f{i}.py", i % 7) for i in range(310)] + [("", "", 0)]
+    flaws = spark.createDataFrame(rows, "repo string, file string, line int")
+    got, want = attach_excerpt(flaws, stored.files(), 2), attach_excerpt(flaws, files, 2)
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+    assert moved(got) == []
+
+
+def test_other_repositories_are_not_opened(spark, files, stored, no_broadcast):
+    ids = spark.createDataFrame([("r4",), ("r5",), ("r5",), (None,), ("absent",)], "id string")
+    chosen = stored.of(ids)
+    want = files.where("repository_id in ('r4', 'r5')")
+    assert sorted(map(tuple, chosen.collect())) == sorted(map(tuple, want.collect()))
+    assert moved(chosen) == []
+    folder = {r[0] for r in ids.where("id is not null").select(stored.folder_of(F.col("id"))).collect()}
+    opened = {int(re.search(r"folder=(\d+)", p)[1]) for p in chosen.inputFiles()}
+    every = {int(re.search(r"folder=(\d+)", p)[1]) for p in stored.files().inputFiles()}
+    assert opened <= folder and len(every) > 10
+    assert stored.of(ids.limit(0)).collect() == []
+
+
+def test_scan_of_pending_repositories(spark, files, stored, no_broadcast):
+    repos = spark.createDataFrame([(f"r{i}",) for i in range(20)] + [("hot",)], "id string")
+    done = spark.createDataFrame([(f"r{i}",) for i in range(4, 20)], "repository_id string")
+    got = scan_repositories(stored, repos, RULES, done=done)
+    want = scan_repositories(files, repos, RULES, done=done)
+    assert got.count() > 100
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert moved(got) == []
+
+
+def test_adding_and_opening_again(spark, files, tmp_path):
+    name, path = "files_" + uuid.uuid4().hex, str(tmp_path / "f")
+    first, second = files.where("file_path like '%1.py'"), files.where("not file_path like '%1.py'")
+    stored = store_files(first, name, path, folders=8, buckets=2)
+    stored.add(second)
+    again = open_files(spark, name + "_again", path, 8, 2)
+    for table in (stored, again):
+        assert table.files().count() == first.count() + second.count()
+        assert table.of(spark.createDataFrame([("hot",)], "id string")).count() == files.where("repository_id = 'hot'").count()
