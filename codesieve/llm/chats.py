@@ -3,7 +3,8 @@
 Messages know the message they answer.  Iterative self-joins follow the replies upwards, twice as far each round, and add
 up rows, characters and scores on the way, so that a chain of n messages takes log2(n) joins.  Every leaf is a branch; the
 best of each tree are chosen by their mean score, and the jumps of the rounds, taken in turn, list their messages.  Up to
-there only ids and numbers move; texts move once, to their tree, where every chosen branch becomes one conversation.
+there only ids and numbers move, in joins with one row per message on one side, which adaptive execution splits where a message has
+very many answers; texts move once, to their tree, where every chosen branch becomes one conversation.
 
 A turn is written as ``### role:``, a line end, the text, ``</turn>`` and a line end.  Control strings inside texts and
 roles are written as ``\\0;`` (a backslash), ``\\1;`` (the opening), ``\\2;`` (the closing) and, in roles, ``\\3;`` (a line
@@ -19,7 +20,6 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from codesieve.llm.common import durable, indexed
-from codesieve.operators.partitioning import join_hot
 
 OPENING, CLOSING = "###", "</turn>"
 HEAD, HEAD_END, END = f"{OPENING} ", ":\n", f"{CLOSING}\n"
@@ -79,7 +79,7 @@ def _roads(nodes: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
         jumps.append(active.select("tree", "node", "up"))
         above = state.select("tree", F.col("node").alias("up"), F.col("up").alias("_up"), F.col("rows").alias("_rows"),
                              F.col("chars").alias("_chars"), F.col("total").alias("_total"))
-        further = join_hot(active, above, ["tree", "up"], spread_by=F.xxhash64("node")).select(
+        further = active.join(above, ["tree", "up"]).select(
             "tree", "node", F.col("_up").alias("up"), (F.col("rows") + F.col("_rows")).alias("rows"),
             (F.col("chars") + F.col("_chars")).alias("chars"), (F.col("total") + F.col("_total")).alias("total"))
         state = durable(state.where("up is null").union(further))
@@ -96,12 +96,12 @@ def _branches(nodes: DataFrame, most: int) -> DataFrame:
     chosen = leaves.withColumn("branch", F.row_number().over(best)).where(F.col("branch") <= most)
     found = durable(chosen.select("tree", "branch", "mean", "node"))
     for jump in reversed(jumps):
-        further = join_hot(found, jump, ["tree", "node"], spread_by=F.col("branch")).select(
+        further = found.join(jump, ["tree", "node"]).select(
             "tree", "branch", "mean", F.col("up").alias("node"))
         found = durable(found.union(further))
     places = nodes.select("tree", "node", "key", "copies", "size").join(
         roads.select("tree", "node", "rows", "chars"), ["tree", "node"])
-    return join_hot(found, places, ["tree", "node"], spread_by=F.col("branch")).select(
+    return found.join(places, ["tree", "node"]).select(
         "tree", "branch", "mean", "key", "copies", "size", (F.col("rows") - F.col("copies")).alias("rows_before"),
         (F.col("chars") - F.col("copies") * F.col("size")).alias("before"))
 
@@ -155,7 +155,7 @@ def format_trees(df: DataFrame, tree: str = "tree_id", message: str = "message_i
     structure = durable(_structure(rows, "message", "parent"))
     answered = structure.where("message is not null").groupBy("tree", F.col("message").alias("parent")).agg(
         F.min("key").alias("up"))
-    nodes = durable(join_hot(structure, answered, ["tree", "parent"], "left", F.xxhash64("key")).select(
+    nodes = durable(structure.join(answered, ["tree", "parent"], "left").select(
         "tree", F.col("key").alias("node"), "up", "key", "copies", "size", "score"))
     return _restored(_conversations(rows, _branches(nodes, branches), learned), df, tree)
 
