@@ -4,28 +4,29 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import and_, or_
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from codesieve.functions.text import line_count, raw_lines, window_text
-from codesieve.operators.scan import _as_findings, matches, rules_by_language, scan_lines
+from codesieve.operators.scan import _holds, scan_once
+from codesieve.sources.dialect import crosses_lines
 from codesieve.sources.rules import Rule, spans_lines
 
 OPEN, CLOSE = "\u0001", "\u0002"
 
 
+SPANS = "array<struct<rule:int,first:int,last:int>>"
+
+
 def match_spans(content: Column, regex: str) -> Column:
     """Array of (first, last) line numbers of all matches of ``regex`` in a text, in text order.
 
-    Every match is put between two control characters.  The text is then cut into lines, whose places in the array
-    are their numbers: the lines of all opening and of all closing characters, in order, are the spans.  The work
-    grows with the text and the number of matches.  Control characters already in the text are replaced first.
+    Every match is put between two control characters, in one pass of the regex.  Only a text that then holds some is cut
+    into lines, whose places in the array are their numbers: the lines of all opening and of all closing characters, in
+    order, are the spans.  The work grows with the text and the number of matches.  Control characters already in the text
+    are replaced first.
     """
-    clean = F.translate(content, OPEN + CLOSE, "\ufffd\ufffd")
-    marked = F.split(F.regexp_replace(clean, F.lit(regex), F.lit(f"{OPEN}$0{CLOSE}")), "\n", -1)
-
     def count(line: Column, char: str) -> Column:
         return F.length(line) - F.length(F.replace(line, F.lit(char), F.lit("")))
 
@@ -34,9 +35,43 @@ def match_spans(content: Column, regex: str) -> Column:
         before = F.startswith(line, F.lit(CLOSE)).cast("int")
         return F.concat(F.array_repeat(i, before), F.array_repeat(i + 1, count(line, CLOSE) - before))
 
-    first = F.flatten(F.transform(marked, lambda line, i: F.array_repeat(i + 1, count(line, OPEN))))
-    last = F.flatten(F.transform(marked, closed))
-    return F.zip_with(first, last, lambda a, b: F.struct(a.alias("first"), b.alias("last")))
+    def spans(lines: Column) -> Column:
+        first = F.flatten(F.transform(lines, lambda line, i: F.array_repeat(i + 1, count(line, OPEN))))
+        last = F.flatten(F.transform(lines, closed))
+        return F.zip_with(first, last, lambda a, b: F.struct(a.alias("first"), b.alias("last")))
+
+    clean = F.when(F.contains(content, F.lit(OPEN)) | F.contains(content, F.lit(CLOSE)),
+                   F.translate(content, OPEN + CLOSE, "\ufffd\ufffd")).otherwise(content)
+    marked = F.regexp_replace(clean, F.lit(regex), F.lit(f"{OPEN}$0{CLOSE}"))
+    # Passing the marked text through a lambda, and its lines through another, evaluates either once.
+    cut = F.transform(F.array(marked), lambda m: F.when(F.contains(m, F.lit(OPEN)), F.split(m, "\n", -1)))
+    return F.flatten(F.transform(F.filter(cut, lambda lines: lines.isNotNull()), spans))
+
+
+def _over_text(rules: Sequence[Rule], whole: frozenset[int], unicode: bool):
+    """Spans of the rules at positions ``whole``; texts without a rule's literals are not matched with it."""
+    def hits(content: Column, language: Column, groups: dict[str, list[int]]) -> Column:
+        own = [lang for lang in groups if lang]
+        low = F.lower(F.coalesce(language, F.lit("")))
+
+        def applies(i: int) -> Column:
+            languages = [lang for lang in own if i in groups[lang]]
+            tests = [low.isin(*languages)] if languages else []
+            if i in groups[""]:
+                tests.append(~low.isin(*own) if own else F.lit(True))
+            return reduce(or_, tests) if tests else F.lit(False)
+
+        def spans_of(i: int) -> Column:
+            found = F.transform(
+                match_spans(content, rules[i].java_regex(unicode, whole_text=True)),
+                lambda s: F.struct(F.lit(i).alias("rule"), s["first"].alias("first"), s["last"].alias("last")))
+            literal = _holds(content, rules[i].needles(unicode))
+            wanted = applies(i) if literal is None else applies(i) & literal
+            return F.when(wanted, found).otherwise(F.array().cast(SPANS))
+
+        return F.flatten(F.array(*[spans_of(i) for i in sorted(whole)]))
+
+    return hits
 
 
 def scan_texts(
@@ -53,42 +88,9 @@ def scan_texts(
     The literal gate runs on the whole text.  The snippet is the matched lines, or the context of the first
     line.  ``merge`` reports matches on touching lines as one finding.
     """
-    groups = rules_by_language(rules, strict)
-    text = files.select("repository_id", "file_path", "language", "content")
-    content = F.col("content")
-
-    def applies(i: int) -> Column:
-        languages = [lang for lang, positions in groups.items() if lang and i in positions]
-        own = [lang for lang in groups if lang]
-        low = F.lower(F.coalesce("language", F.lit("")))
-        tests = [low.isin(*languages)] if languages else []
-        if i in groups[""]:
-            tests.append(~low.isin(*own) if own else F.lit(True))
-        return reduce(or_, tests) if tests else F.lit(False)
-
-    def spans_of(i: int) -> Column:
-        found = F.transform(
-            match_spans(content, rules[i].java_regex(unicode, whole_text=True)),
-            lambda s: F.struct(F.lit(i).alias("rule"), s["first"].alias("first"), s["last"].alias("last")))
-        return F.when(and_(applies(i), matches(content, rules[i], unicode, whole_text=True)), found).otherwise(
-            F.array().cast("array<struct<rule:int,first:int,last:int>>"))
-
-    hits = F.flatten(F.array(*[spans_of(i) for i in range(len(rules))]))
-    spans = (
-        text.withColumn("_hits", hits)
-        .where(F.size("_hits") > 0)
-        .withColumn("_lines", raw_lines(content))
-        .withColumn("_count", line_count(content, F.col("_lines")))
-        .select("repository_id", "file_path", "_lines", "_count",
-                F.explode_outer(merged_spans(F.col("_hits")) if merge else first_spans(F.col("_hits"))).alias("_h"))
-    )
-    shown = F.array_join(
-        F.slice("_lines", F.col("_h.first"), F.greatest(F.lit(0), F.col("_h.last") - F.col("_h.first") + 1)), "\n"
-    ) if context is None else window_text(F.col("_lines"), F.col("_count"), F.col("_h.first"), context)
-    found = spans.where(F.col("_h.first") <= F.col("_count")).select(
-        "repository_id", "file_path", F.col("_h.first").alias("line_number"), shown.alias("snippet"),
-        F.col("_h.rule").alias("_rule"))
-    return _as_findings(found, rules)
+    every = frozenset(range(len(rules)))
+    return scan_once(files, rules, _over_text(rules, every, unicode), merged_spans if merge else first_spans, every,
+                     context=context, unicode=unicode, strict=strict)
 
 
 def first_spans(hits: Column) -> Column:
@@ -116,14 +118,15 @@ def _runs(hits: Column, joins) -> Column:
 
 
 def scan_files(files: DataFrame, rules: Sequence[Rule], *, context: int | None = None, unicode: bool = False,
-               strict: bool = False) -> DataFrame:
-    """All rules: those that ask for a newline over whole texts, the others line by line."""
-    whole = [rule for rule in rules if spans_lines(rule.regex)]
-    found = scan_lines(files, [rule for rule in rules if rule not in whole], context=context, unicode=unicode,
-                       strict=strict)
-    if not whole:
-        return found
-    return found.unionByName(scan_texts(files, whole, context=context, unicode=unicode, strict=strict))
+               strict: bool = False, across_lines: bool = False) -> DataFrame:
+    """All rules in one pass: those that ask for a newline over whole texts, the others line by line.
+
+    With ``across_lines``, all rules whose matches may hold a line end (``\\s``, ``[^x]``) run over whole texts.
+    """
+    crosses = crosses_lines if across_lines else spans_lines
+    whole = frozenset(i for i, rule in enumerate(rules) if crosses(rule.regex))
+    return scan_once(files, rules, _over_text(rules, whole, unicode), first_spans, whole, context=context,
+                     unicode=unicode, strict=strict)
 
 
 def merge_adjacent(findings: DataFrame) -> DataFrame:

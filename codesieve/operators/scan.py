@@ -9,7 +9,7 @@ match of a rule must contain.
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from functools import reduce
 from operator import and_, or_
 
@@ -148,38 +148,75 @@ def scan_lines(
     The snippet is the line, or with ``context`` the line and its neighbours, cut from the lines already at
     hand, so that no second read of the text is needed.
     """
+    return scan_once(files, rules, context=context, unicode=unicode, strict=strict, gate=gate)
+
+
+def scan_once(
+    files: DataFrame,
+    rules: Sequence[Rule],
+    over_text: Callable[[Column, Column, dict[str, list[int]]], Column] | None = None,
+    joined: Callable[[Column], Column] | None = None,
+    whole: frozenset[int] = frozenset(),
+    *,
+    context: int | None = None,
+    unicode: bool = False,
+    strict: bool = False,
+    gate: bool = True,
+) -> DataFrame:
+    """Findings of all rules in one pass over the texts: line by line but for the positions ``whole``.
+
+    For these, ``over_text(content, language, positions by language)`` gives an array of (rule, first, last) line numbers,
+    of which ``joined`` makes the spans that are reported.
+    """
     if not rules:
         return _no_findings(files)
     groups = rules_by_language(rules, strict)
+    by_line = {lang: [i for i in positions if i not in whole] for lang, positions in groups.items()}
     text = files.select("repository_id", "file_path", "language", "content")
     language = F.lower("language")
     if not groups[""]:
         text = text.where(language.isin(*[lang for lang in groups if lang]))
 
-    def gate_for(value: Column) -> Column:
+    def gate_for(value: Column, of: dict[str, list[int]]) -> Column:
         return _by_language(
-            groups, F.col("language"),
+            of, F.col("language"),
             lambda positions: text_gate(value, [rules[i] for i in positions], unicode))
 
     if gate:
-        text = text.where(gate_for(F.col("content")))
-    split = text.withColumn("_lines", raw_lines(F.col("content"))).select(
+        text = text.where(gate_for(F.col("content"), groups))
+    cuts = text.withColumn("_lines", raw_lines(F.col("content"))).select(
         "repository_id", "file_path", "language", "_lines",
-        F.coalesce(line_count(F.col("content"), F.col("_lines")), F.lit(0)).alias("_count"))
+        F.coalesce(line_count(F.col("content"), F.col("_lines")), F.lit(0)).alias("_count"),
+        *([over_text(F.col("content"), F.col("language"), groups).alias("_whole")] if whole else []))
+    if whole:  # a projection of its own: the spans are referred to several times, the matching is done once
+        cuts = cuts.withColumn("_whole", joined(F.col("_whole")))
+
+    def shown(number: Column, line: Column) -> Column:
+        return line if context is None else window_text(F.col("_lines"), F.col("_count"), number, context)
 
     def candidate(line: Column) -> Column:
-        number = line["n"]
-        shown = line["line"] if context is None else window_text(F.col("_lines"), F.col("_count"), number, context)
-        return F.struct(number.alias("n"), line["line"].alias("line"), shown.alias("snippet"))
+        return F.struct(line["n"].alias("n"), line["line"].alias("line"), shown(line["n"], line["line"]).alias("snippet"),
+                        F.lit(None).cast("int").alias("rule"))
+
+    def spanning(hit: Column) -> Column:
+        size = F.greatest(F.lit(0), hit["last"] - hit["first"] + 1)
+        block = F.array_join(F.slice("_lines", hit["first"], size), "\n")
+        return F.struct(hit["first"].alias("n"), F.lit(None).cast("string").alias("line"),
+                        shown(hit["first"], block).alias("snippet"), hit["rule"].alias("rule"))
 
     numbered = F.transform(F.col("_lines"), lambda line, i: F.struct((i + 1).alias("n"), line.alias("line")))
     # The array of lines stays in the file's row: only lines that pass the gate leave it, context included.
     passed = F.filter(
-        numbered, lambda x: (x["n"] <= F.col("_count")) & (gate_for(x["line"]) if gate else F.lit(True)))
-    candidates = split.select(
-        "repository_id", "file_path", "language", F.explode_outer(F.transform(passed, candidate)).alias("_c"))
-    hits = _by_language(groups, F.col("language"),
+        numbered, lambda x: (x["n"] <= F.col("_count")) & (gate_for(x["line"], by_line) if gate else F.lit(True)))
+    leaving = F.transform(passed, candidate)
+    if whole:
+        inside = F.filter("_whole", lambda hit: hit["first"] <= F.col("_count"))
+        leaving = F.concat(leaving, F.transform(inside, spanning))
+    candidates = cuts.select("repository_id", "file_path", "language", F.explode_outer(leaving).alias("_c"))
+    hits = _by_language(by_line, F.col("language"),
                         lambda positions: _hits(F.col("_c.line"), rules, positions, unicode, gate))
+    if whole:
+        hits = F.when(F.col("_c.rule").isNotNull(), F.array("_c.rule")).otherwise(hits)
     found = (
         candidates.where(F.col("_c").isNotNull())
         .select("repository_id", "file_path", F.col("_c.n").alias("line_number"), F.col("_c.snippet").alias("snippet"),

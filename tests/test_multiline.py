@@ -1,0 +1,72 @@
+"""One pass over the texts for rules of single lines and rules whose matches cross them."""
+
+import random
+import re
+
+import pytest
+
+from codesieve.operators.multiline import scan_files, scan_texts
+from codesieve.sources.rules import Rule
+
+SCHEMA = "repository_id string, file_path string, language string, content string"
+REGEXES = [r"a\s*\(", r"b\nc", r"[^b]c", "a b", r"(?s)a.c$", r"^c", r"x*", r"\bb\b"]
+RULES = [Rule(f"r{i}", "r", regex, "xss", 5, language="" if i % 2 else "python") for i, regex in enumerate(REGEXES)]
+
+
+def first_lines(regex, text, whole):
+    """(first, last) line of the longest match of each first line, or the lines that match by themselves."""
+    lines = text.split("\n")
+    lines = lines[:-1] if lines[-1] == "" else lines
+    if not whole:
+        return {n: n for n, line in enumerate(lines, 1) if re.search(regex, line)}
+    found = {}
+    for m in re.finditer(regex, text, re.MULTILINE):
+        first = text.count("\n", 0, m.start()) + 1
+        last = text.count("\n", 0, m.end()) + 1 - (m.end() > m.start() and text[m.end() - 1] == "\n")
+        if first <= len(lines):
+            found[first] = max(last, first)
+    return found
+
+
+@pytest.fixture(scope="module")
+def texts():
+    rng = random.Random(4)
+    made = ["".join(rng.choice("abc( \n") for _ in range(rng.randrange(1, 60))) for _ in range(80)]
+    return [*made, "", "\n", "a\n\n(", "b\nc\nb\nc", "\u0001b\u0002\nc", None]
+
+
+@pytest.mark.parametrize("across", [False, True])
+def test_both_kinds_of_rules_against_brute_force(spark, texts, across):
+    rows = [("r", f"src/f{i}", "python" if i % 3 else "java", text) for i, text in enumerate(texts)]
+    found = scan_files(spark.createDataFrame(rows, SCHEMA).repartition(3), RULES, across_lines=across)
+    got = {(r.file_path, r.pattern_id, r.line_number, r.snippet) for r in found.collect()}
+    assert found.count() == len(got)
+    crossing = {"r1"} | ({"r0", "r2", "r4"} if across else set())
+    want = set()
+    for _, path, language, text in rows:
+        for rule in RULES:
+            if text is None or rule.language not in ("", language):
+                continue
+            lines = text.split("\n")
+            for first, last in first_lines(rule.regex, text, rule.id in crossing).items():
+                want.add((path, rule.id, first, "\n".join(lines[first - 1:last])))
+    assert got == want
+
+
+def test_texts_are_read_once_and_matched_once(spark, texts, tmp_path):
+    path = str(tmp_path / "f")
+    spark.createDataFrame([("r", f"f{i}", "python", t) for i, t in enumerate(texts)], SCHEMA).write.parquet(path)
+    found = scan_files(spark.read.parquet(path), RULES, across_lines=True, context=1)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 1
+    for rule in RULES:
+        assert plan.count(f"{rule.java_regex(whole_text=True)}, \u0001$0\u0002") <= 1
+
+
+def test_only_rules_for_whole_texts(spark):
+    df = spark.createDataFrame([("r", "f", "python", "x = open(\n  name)\ny")], SCHEMA)
+    rule = Rule("o", "o", r"open\(\s*name", "xss", 5)
+    assert [(r.line_number, r.snippet) for r in scan_texts(df, [rule]).collect()] == [(1, "x = open(\n  name)")]
+    assert scan_files(df, [rule]).collect() == []
+    assert [r.line_number for r in scan_files(df, [rule], across_lines=True).collect()] == [1]
+    assert scan_files(df, []).collect() == [] and scan_files(df.limit(0), [rule], across_lines=True).collect() == []
