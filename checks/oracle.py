@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from checks.views import HYGIENE, PACK, SEARCHES, rule_selects, rules_values, view_ctes
+from checks.views import ACROSS, HYGIENE, PACK, SEARCHES, _quoted, rule_selects, rules_values, view_ctes
 
 NS = "6ba7b8109dad11d180b400c04fd430c8"
 IGNORED = "(^|/)(node_modules|vendor|dist|build|target|migrations)(/|$)"
@@ -387,3 +387,11 @@ ORACLE: dict[str, str] = {
 # Stored files give what plain ones give.
 ORACLE["context_stored"] = ORACLE["context_join"]
 ORACLE["incremental_stored"] = ORACLE["incremental_scan"]
+
+
+# The same SQL with the other rule, and beside it the hygiene rules that hold no class with a line end.
+ORACLE["regex_scan_across"] = f"""
+    SELECT id, repository_id, file_path, line_number, pattern_id, snippet FROM ({ORACLE["regex_scan_multiline"].replace(
+        "'[a-z]+[.] *' || chr(10) || '[A-Z][a-z]+ [a-z]+'", _quoted(ACROSS[0].regex)).replace("ml_break", "ml_across")})
+    UNION ALL SELECT id, repository_id, file_path, line_number, pattern_id, snippet FROM ({ORACLE["regex_scan"]})
+    WHERE pattern_id IN ('hyg_token', 'hyg_email', 'hyg_license')"""

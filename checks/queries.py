@@ -12,7 +12,7 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.views import AS_OF, HYGIENE, MULTILINE, PACK, SEARCHES, table
+from checks.views import ACROSS, AS_OF, HYGIENE, MULTILINE, PACK, SEARCHES, table
 from codesieve import constants as C
 from codesieve.functions import identity, paths, values
 from codesieve.functions.text import lines
@@ -23,6 +23,7 @@ from codesieve.plans import sast as sast_plan
 from codesieve.plans import triage as triage_plan
 from codesieve.session import shared_folder
 from codesieve.sources import packs, records
+from codesieve.sources.dialect import crosses_lines
 from codesieve.sources.rules import Rule, rules_frame
 from codesieve.sources.stored import store_files
 
@@ -358,6 +359,14 @@ def regex_scan_multiline(spark, sf):
     return multiline.scan_texts(scan.eligible_files(_files(spark, sf)), MULTILINE)
 
 
+@query
+def regex_scan_across(spark, sf):
+    """Rules of lines and of whole texts in one pass."""
+    inside = [rule for rule in HYGIENE if not crosses_lines(rule.regex)]
+    found = multiline.scan_files(scan.eligible_files(_files(spark, sf)), inside + ACROSS, across_lines=True)
+    return found.select("id", "repository_id", "file_path", "line_number", "pattern_id", "snippet")
+
+
 @query
 def merge_adjacent(spark, sf):
     words = [Rule("adj", "word", "[a-z]+ing ", "xss", 3)]

@@ -27,6 +27,9 @@ HYGIENE = [
 # A match that runs over a line end: a line of one word and the first word of the next line.
 MULTILINE = [Rule("ml_break", "sentence over two lines", "[a-z]+[.] *\n[A-Z][a-z]+ [a-z]+", "xss", 3)]
 
+# Any white space may lie between the two sentences, a line end too; it is not asked for.
+ACROSS = [Rule("ml_across", "sentences that follow", "[a-z]+[.]\\s+[A-Z][a-z]+ [a-z]+", "xss", 3)]
+
 # Searches over prose: with languages, paths to leave out, popularity, and texts taken literally.
 SEARCHES = {
     "numbers": Search("[0-9]{3,}", language="en", without_paths=("vendor", "routes"), min_stars=100),
