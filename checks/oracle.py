@@ -350,6 +350,10 @@ ORACLE: dict[str, str] = {
     "sast_end_to_end": _with((V, F), FLAWS + "," + excerpt("top"), f"""SELECT f.repo, f.rank, f.issue_id, f.cwe_id, f.severity, {EXCERPT_TEXT},
         k.total_qualifying, k.capped FROM top f JOIN counts k ON k.repo = f.repo
         LEFT JOIN cut c ON c.repo = f.repo AND c.file = f.file AND c.line = f.line"""),
+    "sast_documents": _with((V, F), FLAWS + "," + excerpt("top"), f"""SELECT f.repo, k.total_qualifying, k.assessed_count, k.capped,
+        f.rank AS place, f.rank, f.issue_id, f.scan_file, f.cwe_id, f.issue_type, f.severity, f.file, f.line, {EXCERPT_TEXT}
+        FROM top f JOIN counts k ON k.repo = f.repo
+        LEFT JOIN cut c ON c.repo = f.repo AND c.file = f.file AND c.line = f.line"""),
     "triage_targets": _with((V,), "", """SELECT DISTINCT repo FROM flaw_rows
         WHERE cwe_id IN ('73', '78', '80', '89', '327', '502', '611', '918')"""),
     "triage_merge": _with((T,), "", "SELECT repo, issue_id, severity, verdict FROM verdicts"),

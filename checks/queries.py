@@ -652,6 +652,16 @@ def sast_combined(spark, sf):
     return docs.select("repo", "total_qualifying", "assessed_count", "capped", issues.alias("issue_ids"))
 
 
+@query
+def sast_documents(spark, sf):
+    """The combined documents in full: every field of every finding, in its order in the document."""
+    docs = sast_plan.documents(_sast_results(spark, sf), _files(spark, sf))
+    return docs.select("repo", "total_qualifying", "assessed_count", "capped", F.posexplode("findings").alias("i", "f")).select(
+        "repo", "total_qualifying", "assessed_count", "capped", (F.col("i") + 1).alias("place"),
+        *[F.col(f"f.{name}") for name in ("rank", "issue_id", "scan_file", "cwe_id", "issue_type", "severity", "file", "line",
+                                          "source_excerpt")])
+
+
 @query
 def sast_end_to_end(spark, sf):
     rows = sast_plan.combine(_sast_results(spark, sf), _files(spark, sf))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from codesieve import constants as C
@@ -24,6 +24,44 @@ def flaws(results: DataFrame) -> DataFrame:
         "f.display_text", "f.flaw_details", "f.description", "f.cwename", "f.stack_dumps")
 
 
+def per_file(results: DataFrame, cwes: Sequence[str] = C.SAST_CWES, cap: int = C.SAST_CAP,
+             at_least: int = C.HIGH_SEVERITY) -> DataFrame:
+    """One row per result file: how many flaws qualify, how many are of high severity, and the ``cap`` first that qualify.
+
+    Nothing leaves the file's row: no shuffle, and what later passes need of a file is bounded by ``cap``.
+    """
+    fields = ["issue_id", "severity", "display_text", "flaw_details", "description", "cwename", "stack_dumps"]
+
+    def ordered(f: Column, pos: Column) -> Column:
+        class_ = F.coalesce(f["cwe_id"], F.lit(""))
+        return F.struct(
+            (-F.coalesce(f["severity"], F.lit(0))).alias("down"), class_.try_cast("long").alias("up"), pos.alias("pos"),
+            class_.alias("cwe_id"), F.coalesce(f["issue_type"], F.lit("")).alias("issue_type"),
+            F.coalesce(f["files"]["source_file"]["file"], F.lit("")).alias("file"),
+            F.coalesce(f["files"]["source_file"]["line"], F.lit(0)).alias("line"), *[f[name].alias(name) for name in fields])
+
+    # The fields in front are the order; what is the same up to ``pos``, which is unique, is never compared.
+    wanted = F.filter(F.transform("findings", ordered), lambda f: f["cwe_id"].isin(*cwes))
+    return results.select(
+        F.col("project").alias("repo"), "scan_file", wanted.alias("wanted"),
+        F.size(F.filter("findings", lambda f: F.coalesce(f["severity"], F.lit(0)) >= at_least)).alias("high")).select(
+        "repo", "scan_file", F.greatest(F.size("wanted"), F.lit(0)).cast("long").alias("qualifying"),
+        F.greatest("high", F.lit(0)).cast("long").alias("high"), F.slice(F.array_sort("wanted"), 1, cap).alias("top"))
+
+
+def flaws_of(files: DataFrame) -> DataFrame:
+    """The flaws that ``per_file`` kept, as ``flaws`` gives them."""
+    rows = files.select("repo", "scan_file", F.explode("top").alias("f")).select("repo", "scan_file", "f.*")
+    return rows.drop("down", "up")
+
+
+def counts_of(files: DataFrame, cap: int = C.SAST_CAP) -> DataFrame:
+    """``repository_counts`` from the sums that ``per_file`` carries."""
+    n = F.sum("qualifying")
+    return files.where("qualifying > 0").groupBy("repo").agg(
+        n.alias("total_qualifying"), F.least(n, F.lit(cap)).alias("assessed_count"), (n > cap).alias("capped"))
+
+
 def qualifying(rows: DataFrame, cwes: Sequence[str] = C.SAST_CWES) -> DataFrame:
     """Flaws of the given weakness classes."""
     return rows.where(F.col("cwe_id").isin(*cwes))

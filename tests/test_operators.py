@@ -401,3 +401,30 @@ def test_triage_and_reports(spark, tmp_path):
     (tmp_path / "array.json").write_text('[{"repository_name": "a"}, {"repository_name": ""}, {"repository_id": "3"}]')
     assert ids(records.read_repo_report(spark, str(tmp_path / "array.json"), array=True), "repository_name") == ["a"]
     sinks.write_triage_report(spark.range(1), str(tmp_path / "t"))
+
+
+def test_one_row_per_result_file_carries_counts_and_first_flaws(spark):
+    import random
+
+    rng = random.Random(3)
+    schema = ("project string, scan_file string, findings array<struct<issue_id:bigint, cwe_id:string, issue_type:string, "
+              "severity:int, files:struct<source_file:struct<file:string, line:int>>, display_text:string, flaw_details:string, "
+              "description:string, cwename:string, stack_dumps:string>>")
+
+    def flaw(i):
+        where = rng.choice([None, ((rng.choice([None, "a/b.py"]), rng.choice([None, 3])),)])
+        return (i, rng.choice(["89", "79", "117", None, "x"]), rng.choice([None, "t"]), rng.choice([None, 0, 3, 4, 5]), where, *[None] * 5)
+
+    rows = [(rng.choice(["p", "q"]), f"s{k}", [flaw(100 * k + i) for i in range(rng.choice([0, 1, 5, 80]))]) for k in range(30)]
+    rows += [("none", "s", None), ("none", "t", [])]
+    results = spark.createDataFrame(rows, schema).repartition(4)
+    files = sast.per_file(results, cap=7)
+    plain = sast.qualifying(sast.flaws(results))
+    assert files.selectExpr("max(size(top))").first()[0] == 7
+    columns = ["repo", "rank", "issue_id", "scan_file", "pos", "cwe_id", "issue_type", "severity", "file", "line"]
+    got = sast.top_per_repository(sast.flaws_of(files), 7).select(*columns).collect()
+    assert sorted(map(tuple, got), key=str) == sorted(map(tuple, sast.top_per_repository(plain, 7).select(*columns).collect()), key=str)
+    assert sorted(sast.counts_of(files, 7).collect()) == sorted(sast.repository_counts(plain, 7).collect())
+    high = {r.repo: r.n for r in files.groupBy("repo").agg(F.sum("high").alias("n")).collect()}
+    want = {r.repo: r["count"] for r in sast.high_severity(sast.flaws(results)).groupBy("repo").count().collect()}
+    assert {k: n for k, n in high.items() if n} == want
