@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -13,7 +12,6 @@ from codesieve import schemas
 from codesieve.constants import CONTEXT_LINES, IGNORED_PATHS
 from codesieve.operators.multiline import scan_files
 from codesieve.operators.scan import eligible_files
-from codesieve.operators.tables import insert_ignore
 from codesieve.sources.rules import Rule
 
 
@@ -32,48 +30,26 @@ def stream_findings(
     return scan_files(eligible_files(files, ignored), rules, context=context)
 
 
-BUCKETS = 64
+def write_findings_stream(findings: DataFrame, target: str, checkpoint: str, remember: str | None = None,
+                          **trigger: object) -> StreamingQuery:
+    """Append findings whose id is new to the Parquet files in ``target``.
 
-
-def write_findings_stream(findings: DataFrame, target: str, checkpoint: str, **trigger: object) -> StreamingQuery:
-    """Append findings whose id is new to the Parquet table ``target``.
-
-    Each micro-batch owns one partition folder and replaces it, so a batch that is delivered again after a
-    failure leaves the table as it was.  Ids of earlier batches are skipped; the table is also partitioned by a
-    hash of the repository, and only the partitions of repositories in the batch (at most ``BUCKETS``) are read
-    for that.
+    The ids that were written are keyed state of the query: a batch looks up its own ids, by a shuffle of its findings on the id,
+    and reads nothing that earlier batches wrote.  With ``remember`` ("30 days") an id is forgotten so long after the batch that
+    brought it, and the state is bounded by what arrives in that time; without, ids are kept for good (take the RocksDB state
+    store).  The sink's log makes a batch that is delivered again leave the files as they were; Spark compacts that log.
     """
-
-    def append(batch: DataFrame, batch_id: int) -> None:
-        # Kept for the two uses below, so that a batch is scanned once.
-        rows = batch.withColumn("bucket", F.pmod(F.xxhash64("repository_id"), F.lit(BUCKETS)).cast("int")).persist()
-        buckets = [row.bucket for row in rows.select("bucket").distinct().collect()]
-        earlier = _existing(batch, target)
-        if earlier is None:
-            fresh = rows.dropDuplicates(["id"])
-        else:
-            fresh = insert_ignore(earlier.where(F.col("bucket").isin(buckets) & (F.col("batch_id") < batch_id)), rows)
-        fresh.write.mode("overwrite").partitionBy("bucket").parquet(f"{target.rstrip('/')}/batch_id={batch_id}")
-        rows.unpersist()
-
+    if remember is None:
+        fresh = findings.dropDuplicates(["id"])
+    else:
+        timed = findings.withColumn("_arrived", F.current_timestamp()).withWatermark("_arrived", remember)
+        fresh = timed.dropDuplicatesWithinWatermark(["id"]).drop("_arrived")
     return (
-        findings.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"availableNow": True})).start()
+        fresh.writeStream.format("parquet").outputMode("append").option("path", target)
+        .option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
     )
 
 
-def _existing(batch: DataFrame, target: str) -> DataFrame | None:
-    """The table written so far, None before the first batch."""
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in batch.schema.fields)
-    reader = batch.sparkSession.read.schema(f"{fields}, batch_id bigint, bucket int")
-    try:
-        return reader.parquet(target)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-
-
 def deduplicate_stream(findings: DataFrame, time_column: str, delay: str) -> DataFrame:
     """First finding per id; the state forgets an id once the watermark has passed it by ``delay``."""
     return findings.withWatermark(time_column, delay).dropDuplicatesWithinWatermark(["id"])
