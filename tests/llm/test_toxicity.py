@@ -86,18 +86,6 @@ def test_learns_insults_and_tolerates_insertions(spark, docs, corpus):
     assert {r.doc_id for r in kept.collect()} == {i for i, s, _ in got if i is not None and i < 240 and s < 0.7}
 
 
-def test_one_letter_at_every_inner_place(spark, docs, corpus):
-    machine = toxicity.fit(docs(*[(i, t) for i, t, _ in corpus]),
-                           spark.createDataFrame([(i, y) for i, _, y in corpus], "doc_id long, toxic int"))
-    texts = [f"ta ri {word[:i]}{letter}{word[i:]} mo" for word in ("scumbag", "worthless", "idiot")
-             for i in range(1, len(word)) for letter in "xqz"]
-    scores = toxicity._scores(texts, machine, toxicity._Bare())[0]
-    missed = [t for t, s in zip(texts, scores, strict=True) if s < 0.7]
-    assert missed == []
-    clean = [t for i, t, y in corpus if not y]
-    assert (toxicity._scores(clean, machine, toxicity._Bare())[0] < 0.7).all()
-
-
 def test_gaps_that_are_spaces_and_phrases(spark, docs, corpus):
     random.seed(5)
     rows = [(i, t, y) for i, t, y in corpus]
