@@ -113,17 +113,21 @@ def mix(df: DataFrame, weights: DataFrame | None = None, id_column: str = "doc_i
 
 
 def mixed_rows(df: DataFrame, weights: DataFrame | None = None, id_column: str = "doc_id",
-               source_column: str = "source", **options) -> DataFrame:
+               source_column: str = "source", position: str | None = None, **options) -> DataFrame:
     """All rows and columns of ``df`` in mixture order: partitions hold consecutive slots and are sorted by them.
 
-    Rows that share id and source are put where the first of them belongs.
+    Rows that share id and source are put where the first of them belongs.  ``position`` names a column to be added,
+    a struct of slot and place: sorting by it gives the order again after the rows were written and reread.  Columns
+    of ``df`` may have any names, a column of that name is replaced.
     """
     order = mix(df, weights, id_column, source_column, **options)
-    first = order.groupBy(F.col(id_column).alias("_id"), F.col(source_column).alias("_source")).agg(
-        F.min(F.struct(F.coalesce("slot", F.lit((1 << 63) - 1)).alias("slot"), "place")).alias("_order"))
-    same = df[id_column].eqNullSafe(F.col("_id")) & df[source_column].eqNullSafe(F.col("_source"))
-    joined = df.join(first, same, "left")
+    first = order.groupBy(F.col(id_column).alias("id"), F.col(source_column).alias("from")).agg(
+        F.min(F.struct(F.coalesce("slot", F.lit((1 << 63) - 1)).alias("slot"), "place")).alias("at"))
+    whole = df.select(F.struct(*[df[c] for c in df.columns]).alias("row"))
+    same = F.col("row").getField(id_column).eqNullSafe(F.col("id")) & F.col("row").getField(
+        source_column).eqNullSafe(F.col("from"))
+    joined = whole.join(first, same, "left")
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = joined.repartitionByRange(partitions, "_order.slot", "_order.place").sortWithinPartitions(
-        "_order.slot", "_order.place")
-    return spread.select(*[df[c] for c in df.columns])
+    spread = joined.repartitionByRange(partitions, "at.slot", "at.place").sortWithinPartitions("at.slot", "at.place")
+    columns = [F.col("row").getField(c).alias(c) for c in df.columns if c != position]
+    return spread.select(*columns, *([F.col("at").alias(position)] if position else []))

@@ -71,3 +71,18 @@ def test_empty_and_no_python(docs):
     assert mixing.mix(empty).collect() == [] and mixing.mixed_rows(empty).collect() == []
     plan = mixing.mix(docs((1, "t")))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_clashing_columns_and_position(docs):
+    df = docs(*[(i, f"t{i}", None, "ab"[i % 2]) for i in range(60)])
+    wide = df.selectExpr("*", "doc_id as _id", "source as _source", "text as _order", "1 as id", "2 as `from`",
+                         "3 as at", "4 as row", "5 as slot", "6 as place", "7 as `a.b`")
+    plain = [r.doc_id for r in mixing.mixed_rows(df, block_rows=4).collect()]
+    out = mixing.mixed_rows(wide, block_rows=4)
+    found = out.collect()
+    assert out.columns == wide.columns and [r.doc_id for r in found] == plain
+    assert all(r._id == r.doc_id and r._order == r.text and r.row == 4 for r in found)
+    placed = mixing.mixed_rows(df, block_rows=4, position="mixed_at")
+    assert placed.columns == [*df.columns, "mixed_at"]
+    shuffled = placed.orderBy("doc_id").collect()
+    assert [r.doc_id for r in sorted(shuffled, key=lambda r: r.mixed_at)] == plain

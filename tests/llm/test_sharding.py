@@ -70,3 +70,34 @@ def test_null_ids_repeats_and_empty(docs):
     assert sorted(r.size for r in got) == [8, 8, 8, 9, 9]
     assert placed(docs((1, "a")).limit(0)) == []
     assert len(placed(docs((1, "a")))) == 1
+
+
+def test_rounds_lower_the_cut_of_equal_texts(docs):
+    random.seed(8)
+    rows = [(k, "hot") for k in range(120)]
+    for g in range(90):
+        rows += [(1000 + 10 * g + k, f"text {g}") for k in range(random.randint(2, 5))]
+    rows += [(5000 + k, f"single {k}") for k in range(200)]
+    text = dict(rows)
+
+    def cut(rounds):
+        got = placed(docs(*rows), shards=8, rounds=rounds)
+        check(got, len(rows), 8)
+        homes = defaultdict(Counter)
+        for r in got:
+            homes[text[r.doc_id]][r.shard] += 1
+        apart = {t: sum(h.values()) - max(h.values()) for t, h in homes.items()}
+        return apart.pop("hot"), sum(apart.values())
+
+    (hot, small), (hot_after, small_after) = cut(0), cut(6)
+    assert small > 150 and hot > 90  # by chance
+    assert small_after <= 0.1 * small
+    assert hot_after < hot  # larger than a shard: some stay apart
+
+
+def test_very_long_texts(docs):
+    long = "word " * 400_000
+    got = placed(docs((1, long), (2, long), (3, long + "x"), (4, "")), shards=2)
+    check(got, 4, 2)
+    by = {r.doc_id: r for r in got}
+    assert by[1].shard == by[2].shard and by[3].size == len(long) + 9
