@@ -123,7 +123,8 @@ def mixed_rows(df: DataFrame, weights: DataFrame | None = None, id_column: str =
     order = mix(df, weights, id_column, source_column, **options)
     first = order.groupBy(F.col(id_column).alias("id"), F.col(source_column).alias("from")).agg(
         F.min(F.struct(F.coalesce("slot", F.lit((1 << 63) - 1)).alias("slot"), "place")).alias("at"))
-    whole = df.select(F.struct(*[df[c] for c in df.columns]).alias("row"))
+    named = [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+    whole = df.select(F.struct(*named).alias("row"))
     same = F.col("row").getField(id_column).eqNullSafe(F.col("id")) & F.col("row").getField(
         source_column).eqNullSafe(F.col("from"))
     joined = whole.join(first, same, "left")
