@@ -204,7 +204,8 @@ def _worker(kind: pa.DataType, in_place: int, wanted: bool):
             if wanted:
                 yield pa.RecordBatch.from_arrays([
                     pa.array([next(uid) for _ in rows], type=pa.int64()), ids,
-                    pa.array([doc[1] for doc, _, _ in rows], type=pa.string()), pa.array([not near for _, near, _ in rows]),
+                    pa.array([doc[1] for doc, _, _ in rows], type=pa.string()),
+                    pa.array([not near for _, near, _ in rows], type=pa.bool_()),
                     pa.array([[dict(zip(("period", "start", "stop"), s, strict=True)) for s in got] for _, _, got in rows],
                              type=_STRETCHES)], names=["uid", "id", "text", "long", "stretches"])
             else:

@@ -65,6 +65,15 @@ def test_long_text_and_empty_table(docs):
     assert runs.periodic_runs(docs((1, "a")).limit(0)).collect() == []
 
 
+def test_slice_without_a_run_after_one_with_runs(spark):
+    """One task hands on several slices of documents; the second holds nothing that goes on."""
+    plain = [(i, " ".join(f"w{i}_{j}" for j in range(100_000))) for i in range(3)]
+    rows = [(10, "a " * 8), *plain, (11, "x y z")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = {r.doc_id: [tuple(x) for x in r.runs] for r in runs.periodic_runs(df).collect()}
+    assert got == {10: [(0, 8, 1)], 0: [], 1: [], 2: [], 11: []}
+
+
 def test_z_function_and_tiles_against_definition():
     rng = random.Random(2)
     for _ in range(200):
