@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from codesieve.constants import CONTEXT_LINES, EXCERPT_LINES
 from codesieve.functions.text import excerpt_text, line_count, raw_lines, window_text
-from codesieve.operators.partitioning import join_hot
+from codesieve.operators.partitioning import join_hot, join_wide
 
 FILE = ["repository_id", "file_path"]
 
@@ -24,7 +24,7 @@ def attach_context(findings: DataFrame, files: DataFrame, around: int = CONTEXT_
     present = files.select("repository_id").distinct().withColumn("_present", F.lit(True))
     cut = _windows(findings.select(*FILE, "line_number"), files, around)
     joined = findings.join(cut, [*FILE, "line_number"], "left")
-    joined = join_hot(joined, present, "repository_id", "left", F.xxhash64("id"))
+    joined = join_wide(joined, present, "repository_id", "left")
     text = F.coalesce("_text", F.when(F.col("_present"), F.lit("")), "snippet")
     return joined.withColumn("snippet", text).select(*findings.columns)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from codesieve.operators.partitioning import join_hot
+from codesieve.operators.partitioning import join_wide
 
 
 def export_select(report: DataFrame, min_score: int = 0, min_findings: int = 0) -> DataFrame:
@@ -29,7 +29,7 @@ def export_names(report: DataFrame) -> DataFrame:
     repositories does not end up in one task.
     """
     first = report.groupBy("repository_name").agg(F.min(_order()).alias("_first"))
-    joined = join_hot(report, first, "repository_name", "left", F.xxhash64("repository_id"))
+    joined = join_wide(report, first, "repository_name", "left")
     name = F.when(_order() == F.col("_first"), F.col("repository_name")).otherwise(
         F.concat_ws("_", "repository_name", "repository_id"))
     return joined.withColumn("export_name", name).drop("_first")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from codesieve.functions.paths import blob_url
 from codesieve.functions.scoring import category_rank, finding_score
-from codesieve.operators.partitioning import join_hot
+from codesieve.operators.partitioning import join_wide
 
 LOCATION = ["repository_id", "file_path", "line_number"]
 
@@ -15,7 +15,7 @@ LOCATION = ["repository_id", "file_path", "line_number"]
 def of_language(rows: DataFrame, repositories: DataFrame, language: str) -> DataFrame:
     """Rows whose repository has ``language``."""
     ids = repositories.where(F.col("language") == language).select(F.col("id").alias("repository_id"))
-    return join_hot(rows, ids, "repository_id", "left_semi")
+    return join_wide(rows, ids, "repository_id", "left_semi")
 
 
 def by_repository(findings: DataFrame, repository_id: str) -> DataFrame:
@@ -41,7 +41,7 @@ def score_findings(findings: DataFrame, repositories: DataFrame | None = None, c
         return findings.withColumn(
             "score", finding_score(F.col("vulnerability_type"), F.col("file_path"), None, case_sensitive))
     scores = repositories.select(F.col("id").alias("repository_id"), F.col("score").alias("_repo_score"))
-    joined = join_hot(findings, scores, "repository_id", "left", F.xxhash64("id"))
+    joined = join_wide(findings, scores, "repository_id", "left")
     return joined.withColumn(
         "score",
         finding_score(F.col("vulnerability_type"), F.col("file_path"), F.col("_repo_score"), case_sensitive),
@@ -76,7 +76,7 @@ def deduplicate_language(findings: DataFrame, repositories: DataFrame, language:
                          include_singletons: bool = False) -> DataFrame:
     """``deduplicate`` for the repositories of one language; other findings stay as they are."""
     langs = repositories.select(F.col("id").alias("repository_id"), F.col("language").alias("_lang"))
-    tagged = join_hot(findings, langs, "repository_id", "left", F.xxhash64("id"))
+    tagged = join_wide(findings, langs, "repository_id", "left")
     chosen = F.coalesce(F.col("_lang") == language, F.lit(False))
     untouched = tagged.where(~chosen).drop("_lang")
     if "matched_pattern_ids" not in findings.columns:
@@ -128,7 +128,7 @@ def review_queue(findings: DataFrame, repositories: DataFrame, language: str | N
     repos = repositories.select(
         F.col("id").alias("repository_id"), F.col("name").alias("repository_name"),
         F.col("url").alias("repository_url"), "framework", F.col("score").alias("repo_score"))
-    joined = join_hot(findings, repos, "repository_id", "inner", F.xxhash64("id"))
+    joined = join_wide(findings, repos, "repository_id")
     return joined.select(*_queue_columns())
 
 
@@ -160,7 +160,7 @@ def report_rows(
         F.col("id").alias("repository_id"), F.col("name").alias("repository_name"),
         F.col("url").alias("repository_url"), "framework", F.col("score").alias("repo_score"),
     ).join(local_repositories.select("repository_id", "local_path"), "repository_id", "left")
-    joined = join_hot(findings, repos, "repository_id", "inner", F.xxhash64("id"))
+    joined = join_wide(findings, repos, "repository_id")
     url = blob_url(F.col("repository_url"), F.col("file_path"), F.col("line_number"), F.col("local_path"))
     return joined.select(*_queue_columns(), "local_path", url.alias("github_url"))
 

@@ -33,3 +33,15 @@ def join_hot(
     salted = facts.withColumn("_salt", F.pmod(by, F.lit(salts)).cast("int"))
     repeated = dimension.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted.join(repeated, [*keys, "_salt"], how).drop("_salt")
+
+
+def join_wide(facts: DataFrame, dimension: DataFrame, key: str | Sequence[str], how: str = "inner") -> DataFrame:
+    """``join_hot`` for a dimension that grows with the data: it may have far more keys than the facts refer to.
+
+    The dimension is neither repeated nor sent to every task, whatever its size on disk: both sides move once, by key.
+    The extra key column, the same in all rows, gives both sides a shuffle of their own, and what follows a new one, so
+    that adaptive execution may split the facts of a hot key among tasks, which all read the same dimension rows.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    own = F.pmod(F.xxhash64(*keys), F.lit(1)).cast("int")
+    return facts.withColumn("_own", own).join(dimension.withColumn("_own", own).hint("merge"), [*keys, "_own"], how).drop("_own")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from codesieve import constants as C
 from codesieve.functions.scoring import verdict_weight
-from codesieve.operators.partitioning import join_hot
+from codesieve.operators.partitioning import join_wide
 
 
 def flaws(results: DataFrame) -> DataFrame:
@@ -113,8 +113,8 @@ def summary_findings(rows: DataFrame, projects: DataFrame, at_least: int = C.HIG
 
     A project's flaws stay rows (a nested list per project would put a hot project into one task).
     """
-    return join_hot(high_severity(rows, at_least).withColumnRenamed("repo", "project"),
-                    projects.select("project", "repository_name", "repository_url", "local_path"), "project")
+    return join_wide(high_severity(rows, at_least).withColumnRenamed("repo", "project"),
+                     projects.select("project", "repository_name", "repository_url", "local_path"), "project")
 
 
 def triage_targets(rows: DataFrame, cwes: Sequence[str] = C.TRIAGE_CWES) -> DataFrame:

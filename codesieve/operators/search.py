@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from codesieve.functions.paths import path_tags
-from codesieve.operators.partitioning import join_hot
+from codesieve.operators.partitioning import join_wide
 from codesieve.operators.scan import scan_lines
 from codesieve.sources.rules import Rule
 
@@ -60,8 +60,8 @@ def code_searches(files: DataFrame, searches: Mapping[str, Search], repositories
     if least:
         wanted = F.create_map(*[F.lit(x) for item in least.items() for x in item])[F.col("pattern_id")]
         stars = repositories.select(F.col("id").alias("repository_id"), "stars").where(F.col("stars") > min(least.values()))
-        hits = join_hot(hits, stars, "repository_id", "left" if len(least) < len(searches) else "inner",
-                        F.xxhash64("id")).where(wanted.isNull() | F.coalesce(F.col("stars") > wanted, F.lit(False)))
+        hits = join_wide(hits, stars, "repository_id", "left" if len(least) < len(searches) else "inner").where(
+            wanted.isNull() | F.coalesce(F.col("stars") > wanted, F.lit(False)))
     return hits.select(F.col("pattern_id").alias("search"), "repository_id", "file_path", "line_number",
                        F.col("snippet").alias("line"), path_tags(F.col("file_path")).alias("path_tags"))
 

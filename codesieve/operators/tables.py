@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from codesieve.operators.partitioning import join_hot
+from codesieve.operators.partitioning import join_wide
 
 DISCOVERY_COLUMNS = ["name", "url", "stars", "language", "last_push", "size_mb", "archived"]
 
@@ -79,12 +79,12 @@ def delete_by_ids(parents: DataFrame, ids: DataFrame, *children: DataFrame, key:
     gone = ids.select(key).distinct()
     kept = [parents.join(gone, key, "left_anti").select(*parents.columns)]
     child_keys = gone.withColumnRenamed(key, foreign_key)
-    return kept + [join_hot(child, child_keys, foreign_key, "left_anti").select(*child.columns) for child in children]
+    return kept + [join_wide(child, child_keys, foreign_key, "left_anti").select(*child.columns) for child in children]
 
 
 def orphans(child: DataFrame, parent: DataFrame, foreign_key: str, key: str = "id") -> DataFrame:
     """Child rows whose parent is missing."""
-    return join_hot(child, parent.select(F.col(key).alias(foreign_key)).distinct(), foreign_key, "left_anti").select(
+    return join_wide(child, parent.select(F.col(key).alias(foreign_key)).distinct(), foreign_key, "left_anti").select(
         *child.columns)
 
 
@@ -104,12 +104,12 @@ def not_done(rows: DataFrame, done: DataFrame, key: str | Sequence[str], force:
     if force:
         return rows
     keys = [key] if isinstance(key, str) else list(key)
-    return join_hot(rows, done.select(*keys).distinct(), keys, "left_anti").select(*rows.columns)
+    return join_wide(rows, done.select(*keys).distinct(), keys, "left_anti").select(*rows.columns)
 
 
 def already_done(rows: DataFrame, done: DataFrame, key: str) -> DataFrame:
     """Rows whose key is in ``done``."""
-    return join_hot(rows, done.select(key).distinct(), key, "left_semi").select(*rows.columns)
+    return join_wide(rows, done.select(key).distinct(), key, "left_semi").select(*rows.columns)
 
 
 def local_by_language(local_repositories: DataFrame, repositories: DataFrame, language: str,

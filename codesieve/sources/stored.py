@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codesieve.operators.partitioning import join_hot
+from codesieve.operators.partitioning import join_wide
 
 FILE = ["repository_id", "file_path"]
 COLUMNS = [*FILE, "language", "content"]
@@ -43,7 +43,7 @@ class StoredFiles:
         wanted = ids.toDF("repository_id").where("repository_id is not null").distinct()
         folders = [row[0] for row in wanted.select(self.folder_of(F.col("repository_id"))).distinct().collect()]
         there = self.spark.table(self.name).where(F.col("folder").isin(folders))
-        paths = join_hot(there.select(*FILE), wanted, "repository_id", "left_semi", F.xxhash64("file_path"))
+        paths = join_wide(there.select(*FILE), wanted, "repository_id", "left_semi")
         # The texts stream past the paths of their bucket: neither side is sorted, and only paths were shuffled.
         return there.select(*COLUMNS).join(paths.distinct().hint("shuffle_hash"), FILE, "left_semi")
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from codesieve import constants as C
 from codesieve.operators import multiline, scan, search
-from codesieve.operators.partitioning import join_hot
+from codesieve.operators.partitioning import join_hot, join_wide
 from codesieve.packs import builtin_rules
 from codesieve.sources import files as file_source
 from codesieve.sources.rules import Rule
@@ -179,3 +179,45 @@ def test_join_hot_is_the_plain_join(spark, how):
             assert sorted(map(str, hot.collect())) == expected
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_join_wide_is_the_plain_join(spark, how):
+    """Null and repeated keys included; the facts of a hot key are split among tasks."""
+    facts = spark.range(3000).select(F.when(F.col("id") % 50 == 7, None).when(F.col("id") < 2000, 0)
+                                     .otherwise(F.col("id") % 7).cast("int").alias("k"), "id").repartition(4)
+    dims = spark.createDataFrame([(0, "a"), (1, "b"), (1, "b"), (9, "c"), (None, "d")], "k int, v string")
+    small = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k"}
+    before = {name: spark.conf.get(name) for name in small}
+    try:
+        for name, value in small.items():
+            spark.conf.set(name, value)
+        wide = join_wide(facts, dims, "k", how)
+        assert wide.columns == facts.join(dims, "k", how).columns
+        assert sorted(map(str, wide.collect())) == sorted(map(str, facts.join(dims, "k", how).collect()))
+        rolled = wide.groupBy("k", "id").count()  # a grouping that the join's own shuffle would do for, but for a split
+        rolled.collect()
+        assert "skew=true" in rolled._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+def test_repositories_are_neither_sent_nor_repeated(spark):
+    """A table of repositories that looks small on disk is as large as any other in memory."""
+    from codesieve.operators import findings
+
+    rows = [("1", "src/a.py", "python", "token\nno"), ("2", "b.py", "python", "token"), (None, "c.py", "python", "token")]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    repos = spark.range(5000).select(F.col("id").cast("string").alias("id"), F.col("id").cast("int").alias("stars"),
+                                     F.lit("en").alias("language"), F.lit(10).alias("score"))
+    rule = Rule("t", "t", "token", "xss", 3)
+    found = scan.scan_lines(frame, [rule])
+    for joined in (search.code_search(frame, search.Search("token", min_stars=1), repos),
+                   findings.of_language(found, repos, "en"), findings.score_findings(found, repos)):
+        joined.collect()
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+        assert all("_rule" in line or "_c" in line for line in plan.splitlines() if "Generate" in line)
