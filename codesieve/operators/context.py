@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from codesieve.constants import CONTEXT_LINES, EXCERPT_LINES
 from codesieve.functions.text import excerpt_text, line_count, raw_lines, window_text
-from codesieve.operators.partitioning import join_hot, join_wide
+from codesieve.operators.partitioning import join_wide
 
 FILE = ["repository_id", "file_path"]
 
@@ -65,25 +65,22 @@ def attach_excerpt(flaws: DataFrame, files: DataFrame, around: int = EXCERPT_LIN
     keyed = flaws.withColumns({
         "_repo": F.coalesce("repo", F.lit("")), "_file": F.coalesce("file", F.lit("")),
         "_line": F.coalesce("line", F.lit(0))})
+    # Flaws without a path have nothing to meet and stay where they are.
+    placed = keyed.where(F.col("_file") != "")
+    placeless = flaws.where(F.coalesce("file", F.lit("")) == "").withColumn("source_excerpt", F.lit("[no source path]"))
     path = F.ltrim(F.translate("_file", "\\", "/"), F.lit("/"))
     shorter = F.when(F.contains(path, F.lit("/")), F.regexp_replace(path, "^[^/]+/+", ""))
-    places = keyed.where(F.length("_file") > 0).select("_repo", "_file", "_line").distinct()
-    tried = places.select("*", F.posexplode(F.array(path, shorter)).alias("_try", "file_path")).where(
-        F.col("file_path").isNotNull())
-    # A text meets all places in it at once (bounded by what refers to one file) and is split once.
-    per_file = tried.groupBy(F.col("_repo").alias("repository_id"), "file_path").agg(
-        F.collect_set(F.struct("_file", "_line", "_try")).alias("_places"))
-    split = files.select(*FILE, "content").join(per_file, FILE).select(
-        F.col("repository_id").alias("_repo"), "_places", "content", raw_lines(F.col("content")).alias("_lines"))
+    tried = placed.select("_repo", "_file").distinct().select(
+        F.col("_repo").alias("repository_id"), "_file", F.posexplode(F.array(path, shorter)).alias("_try", "file_path"))
+    best = files.select(*FILE).join(tried, FILE).groupBy("repository_id", "_file").agg(
+        F.min_by("file_path", "_try").alias("file_path"))
+    # A text moves to each path that flaws give it, and its flaws move there once; an excerpt, longer than a flaw and
+    # cut for each of its lines, never moves.
+    texts = files.select(*FILE, "content").dropDuplicates(FILE).join(best, FILE).select(
+        F.col("repository_id").alias("_repo"), "_file", "content")
+    split = join_wide(placed, texts, ["_repo", "_file"], "left").withColumn("_lines", raw_lines(F.col("content")))
     counted = split.withColumn("_count", F.coalesce(line_count(F.col("content"), F.col("_lines")), F.lit(0)))
-    cut = counted.select("_repo", "_lines", "_count", F.explode_outer("_places").alias("_p")).select(
-        "_repo", "_p.*", excerpt_text(F.col("_lines"), F.col("_count"), F.col("_p._line"), around).alias("_text"))
-    best = cut.groupBy("_repo", "_file", "_line").agg(F.min_by("_text", "_try").alias("_text"))
-    # Flaws without a path match nothing: a hash in place of their line keeps them from meeting in one task.
-    # Excerpts are too long to repeat often; two groups are enough to let adaptive execution split a hot place.
-    scattered = keyed.withColumn(
-        "_line", F.when(F.col("_file") == "", F.pmod(F.xxhash64(*flaws.columns), F.lit(1 << 30)).cast("int")).otherwise(F.col("_line")))
-    joined = join_hot(scattered, best, ["_repo", "_file", "_line"], "left", salts=2)
-    text = F.when(F.col("_file") == "", F.lit("[no source path]")).otherwise(
-        F.coalesce("_text", F.concat(F.lit("[source file not found: "), "_file", F.lit("]"))))
-    return joined.withColumn("source_excerpt", text).select(*flaws.columns, "source_excerpt")
+    text = F.coalesce(excerpt_text(F.col("_lines"), F.col("_count"), F.col("_line"), around),
+                      F.concat(F.lit("[source file not found: "), "_file", F.lit("]")))
+    shown = counted.withColumn("source_excerpt", text).select(*flaws.columns, "source_excerpt")
+    return shown.unionByName(placeless)

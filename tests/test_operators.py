@@ -330,6 +330,29 @@ def test_sast(spark, results, tmp_path):
     assert spark.read.json(str(tmp_path / "out" / "projects")).count() == 2
 
 
+def test_excerpts_are_cut_where_they_stay(spark):
+    """One row per flaw, whatever is repeated or null; the path as it is comes first; no excerpt is shuffled."""
+    files = spark.createDataFrame(
+        [("app", "a.py", "python", "one\ntwo"), ("app", "a.py", "python", "one\ntwo"), ("app", "pkg/a.py", "python", "three"),
+         ("app", "b.py", "python", None), (None, "a.py", "python", "four")], schemas.SOURCE_FILES)
+    flaws = spark.createDataFrame(
+        [(1, "app", "/a.py", 1), (2, "app", "pkg/a.py", 1), (3, "app", "gone/a.py", 2), (3, "app", "gone/a.py", 2),
+         (4, "app", "b.py", 1), (5, None, "a.py", 1), (6, "app", None, None), (7, "app", "", 3), (8, None, None, 1)],
+        "n int, repo string, file string, line int")
+    found = context.attach_excerpt(flaws, files)
+    one, two = "    1 >>> one\n    2     two", "    1     one\n    2 >>> two"
+    want = [(1, one), (2, "    1 >>> three"), (3, two), (3, two), (4, "[source file not found: b.py]"),
+            (5, "[source file not found: a.py]"), *[(n, "[no source path]") for n in (6, 7, 8)]]
+    assert sorted((r.n, r.source_excerpt) for r in found.collect()) == want
+    moved = None
+    for line in found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0].splitlines():
+        depth = len(line) - len(line.lstrip(" :+-*(0123456789)"))
+        moved = None if moved is not None and depth <= moved else moved
+        if moved is None and "Exchange hashpartitioning" in line:
+            moved = depth
+        assert moved is None or "lpad(" not in line
+
+
 def test_sast_excerpts_and_documents(spark, results, tmp_path):
     files = spark.createDataFrame([("app", "src/a.py", "python", "one\ntwo\nthree")], schemas.SOURCE_FILES)
     rows = {r.issue_id: r.source_excerpt for r in context.attach_excerpt(sast.qualifying(sast.flaws(results)), files).collect()
