@@ -132,3 +132,22 @@ def test_untrained_machine_keeps_all_rows(spark, docs):
     for rows in ([(1, 1)], [(1, 0)], [(1, 1), (2, 1)], []):
         machine = toxicity.fit(df, spark.createDataFrame(rows, "doc_id long, toxic int"))
         assert {r.doc_id for r in toxicity.without_toxic(df, machine, 0.7).collect()} == {1, 2}
+
+
+def test_subsequences_against_definition():
+    """Each subsequence once, ascending, with the sum of its weights, normalised; fillers weigh nothing."""
+    import numpy as np
+
+    words = ["ab", "abc", "aaaaaaaaa", "abcabcabcabc", "x" * 32, "überüber"]
+    numbers, weights = toxicity.subsequences(words)
+    for word, row, have in zip(words, numbers, weights, strict=True):
+        codes, want = toxicity._numbers(word), {}
+        for first in range(len(word)):
+            for i, j in toxicity._PATTERNS:
+                if first + j < len(word):
+                    key = int((codes[first] * 64 + codes[first + i]) * 64 + codes[first + j])
+                    want[key] = want.get(key, 0.0) + toxicity.DECAY ** (j + 1)
+        norm = np.sqrt(sum(v * v for v in want.values()))
+        got = {int(n): v for n, v in zip(row, have, strict=True) if n}
+        assert list(got) == sorted(want) and (have[row == 0] == 0).all()
+        assert np.allclose([got[k] for k in sorted(want)], [want[k] / norm for k in sorted(want)], atol=1e-12)
