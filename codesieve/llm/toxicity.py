@@ -39,6 +39,8 @@ CHUNK = 50_000
 LEAST_CHECKED = 50
 KEPT_WORDS = 100_000
 CODES = 64
+#: Words whose subsequences the driver holds at once.
+AT_ONCE = 512
 
 NOT_LETTERS = re.compile(r"[\W\d_]+")
 #: Signs that stand for letters inside a word.
@@ -84,9 +86,13 @@ def _codes(words: list[str]) -> np.ndarray:
     return out
 
 
-def subsequences(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Per word (row): numbers of its subsequences, each once, and their normalised weights; 0 fills up."""
-    codes = np.pad(_codes(words), ((0, 0), (0, SPAN)))
+def subsequences(words: list[str], width: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Per word (row): numbers of its subsequences, each once, and their normalised weights; 0 fills up.
+
+    Rows are as long as for words of ``width`` letters at least.
+    """
+    codes = _codes(words)
+    codes = np.pad(codes, ((0, 0), (0, SPAN + max(0, width - codes.shape[1]))))
     width = codes.shape[1] - SPAN
     first = codes[:, :width]
     found = []
@@ -109,15 +115,17 @@ def subsequences(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def kernel(words: list[str], others: list[str]) -> np.ndarray:
-    """Normalised kernel of each word with each other word."""
-    numbers, values = subsequences(words)
+    """Normalised kernel of each word with each other word; few words at a time, in rows of one length."""
     out = np.empty((len(words), len(others)))
     table = np.zeros(CODES ** 3)
     other_numbers, other_values = subsequences(others)
-    for j in range(len(others)):
-        table[other_numbers[j]] += other_values[j]
-        out[:, j] = (table[numbers] * values).sum(axis=1)
-        table[other_numbers[j]] = 0.0
+    width = max(map(len, words), default=0)
+    for at in range(0, len(words), AT_ONCE):
+        numbers, values = subsequences(words[at:at + AT_ONCE], width)
+        for j in range(len(others)):
+            table[other_numbers[j]] += other_values[j]
+            out[at:at + AT_ONCE, j] = (table[numbers] * values).sum(axis=1)
+            table[other_numbers[j]] = 0.0
     return out
 
 

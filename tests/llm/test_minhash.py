@@ -151,3 +151,26 @@ def test_components(spark):
     got = connected_components(spark.createDataFrame(pairs, "x long, y long")).collect()
     assert len(got) == len(want) and {r.node: r.component for r in got} == want
     assert connected_components(spark.createDataFrame([], "x long, y long")).collect() == []
+
+
+def test_few_edges_fill_few_partitions_and_are_sent_to_no_other_task(spark):
+    """A round's tasks follow its edges, not the number of shuffle partitions; a node of many edges is included."""
+    set_to = {"spark.sql.shuffle.partitions": "32", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in set_to}
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("few edges", "")
+    try:
+        for k, v in set_to.items():
+            spark.conf.set(k, v)
+        edges = spark.createDataFrame([(0, i) for i in range(1, 200)] + [(i, i + 1) for i in range(300, 330)], "a long, b long")
+        found = connected_components(edges)
+        jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup("few edges")]
+        stages = {s: tracker.getStageInfo(s) for job in jobs for s in job.stageIds}
+        assert sum(s.numTasks for s in stages.values() if s and s.numCompletedTasks) < 32 * 8
+        assert found.rdd.getNumPartitions() <= 2
+        got = {r.node: r.component for r in found.collect()}
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == {i: 0 for i in range(200)} | {i: 300 for i in range(300, 331)}

@@ -151,3 +151,17 @@ def test_subsequences_against_definition():
         got = {int(n): v for n, v in zip(row, have, strict=True) if n}
         assert list(got) == sorted(want) and (have[row == 0] == 0).all()
         assert np.allclose([got[k] for k in sorted(want)], [want[k] / norm for k in sorted(want)], atol=1e-12)
+
+
+def test_kernel_holds_few_words_at_a_time():
+    import tracemalloc
+
+    random.seed(5)
+    words = ["".join(random.choice("abcdefgh") for _ in range(random.randint(1, 32))) for _ in range(3000)]
+    tracemalloc.start()
+    got = toxicity.kernel(words, words[:5])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60e6
+    apart = toxicity.kernel(words[1000:1004] + [max(words, key=len)], words[:5])  # alike wherever a word lies
+    assert np.array_equal(got[1000:1004], apart[:4])
