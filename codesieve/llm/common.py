@@ -57,8 +57,10 @@ def indexed(df: DataFrame, group: list[str], order: list[str], bin_column: Colum
     for i, g in enumerate(group):
         same = same & F.col(g).eqNullSafe(F.col(f"_g{i}"))
     numbered = binned.withColumn("_inside", F.row_number().over(inside) - 1)
-    joined = numbered.join(offsets, same)
-    return joined.withColumn(name, F.col("_offset") + F.col("_inside")).drop(
+    # Every row has its bin; as a left join, which a filter on the number must not turn into an inner one, only the bins
+    # can be sent to all tasks and never the rows.
+    joined = numbered.join(offsets, same, "left")
+    return joined.withColumn(name, F.coalesce("_offset", F.lit(0)) + F.col("_inside")).drop(
         "_bin", "_inside", "_b", "_offset", *[f"_g{i}" for i in range(len(group))])
 
 

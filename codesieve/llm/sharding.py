@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from codesieve.llm.common import bins_of, durable, indexed, spread_key
-from codesieve.operators.partitioning import join_hot
+from codesieve.operators.partitioning import join_wide
 from codesieve.session import shared_folder
 
 SHARDS = 24
@@ -82,7 +82,7 @@ def _gather(both: DataFrame, shards: int, move: bool) -> DataFrame:
         return F.pmod(F.xxhash64(node), F.lit(shards)).cast("int")
 
     degrees = both.groupBy(F.col("a").alias("b")).agg(F.count(F.lit(1)).alias("degree"))
-    around = join_hot(both, degrees, "b", spread_by=F.xxhash64("a"))
+    around = join_wide(both, degrees, "b")
     votes = around.groupBy(F.col("a").alias("node"), first("b").alias("there")).agg(
         F.count(F.lit(1)).alias("votes"), F.max(F.struct("degree", F.col("b").alias("node"))).alias("strongest"))
     best = votes.groupBy("node").agg(
@@ -120,15 +120,16 @@ def propagate(nodes: DataFrame, links: DataFrame, shards: int = SHARDS, rounds:
     a, b = (F.col(c) for c in links.columns)
     pairs = links.where(a.isNotNull() & b.isNotNull() & (a != b)).select(a.alias("a"), b.alias("b"))
     both = durable(pairs.union(pairs.select("b", "a").toDF("a", "b")).distinct())
-    state = _within(nodes.join(_gather(both, shards, rounds > 0), "node"), quota, bins)
+    # Tables of nodes are joined by key at every size: sent to all tasks, they would pass through the driver's memory.
+    state = _within(nodes.join(_gather(both, shards, rounds > 0).hint("merge"), "node"), quota, bins)
 
     for turn in range(rounds - 1):
         loads = _loads(state, shards)
         room = [q - n for q, n in zip(quota, loads, strict=True)]
-        neighbours = join_hot(both, state.select(F.col("node").alias("b"), "shard"), "b", spread_by=F.xxhash64("a"))
+        neighbours = join_wide(both, state.select(F.col("node").alias("b"), "shard"), "b")
         votes = neighbours.groupBy(F.col("a").alias("node"), F.col("shard").alias("there")).agg(
             F.count(F.lit(1)).alias("votes"))
-        best = votes.join(state, "node").groupBy("node", "key", "shard").agg(
+        best = votes.join(state.hint("merge"), "node").groupBy("node", "key", "shard").agg(
             F.max(F.struct("votes", (-F.col("there")).alias("there"))).alias("best"),
             F.coalesce(F.sum(F.when(F.col("there") == F.col("shard"), F.col("votes"))), F.lit(0)).alias("own"))
         # Half of those who want to move may, else linked documents would change places with each other.
@@ -141,11 +142,12 @@ def propagate(nodes: DataFrame, links: DataFrame, shards: int = SHARDS, rounds:
             "node", F.pmod("way", F.lit(shards)).cast("int").alias("to")))
         if turn % 2 and not accepted.head(1):
             break
-        state = _written(state.join(accepted, "node", "left").select(
+        state = _written(state.join(accepted.hint("merge"), "node", "left").select(
             "node", "key", F.coalesce("to", "shard").alias("shard")))
 
     room = [q - n for q, n in zip(quota, _loads(state, shards), strict=True)]
-    free = _fill(nodes.join(state.select("node"), "node", "left_anti"), ["key", "node"], bins_of("key", bins), room)
+    free = _fill(nodes.join(state.select("node").hint("merge"), "node", "left_anti"), ["key", "node"],
+                 bins_of("key", bins), room)
     return state.unionByName(free.select("node", "key", "shard"))
 
 
@@ -165,10 +167,10 @@ def shard_documents(df: DataFrame, id_column: str = "doc_id", text_column: str =
         spread_key(F.col(id_column)).alias("key"), (F.octet_length(text) + 8).cast("long").alias("size"),
         F.crc32(text).alias("crc"), F.unhex(F.sha2(text, 256)).alias("digest")))
     groups = rows.groupBy("digest").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    links = join_hot(rows.select("node", "digest"), groups.select("digest", "leader"), "digest",
-                     spread_by=F.xxhash64("node")).where("node <> leader").select("node", "leader")
+    links = join_wide(rows.select("node", "digest"), groups.select("digest", "leader"), "digest").where(
+        "node <> leader").select("node", "leader")
     placed = propagate(rows.select("node", "key"), links, shards, rounds)
-    numbered = indexed(rows.drop("key", "digest").join(placed, "node"), ["shard"], ["key", "node"],
+    numbered = indexed(rows.drop("key", "digest").join(placed.hint("merge"), "node"), ["shard"], ["key", "node"],
                        bins_of("key", max(1, -(-rows.count() // (BIN_ROWS * shards)))), "slot")
     return numbered.select(F.col("_id").alias(id_column), "size", F.col("crc").alias("text_crc32"),
                            F.lit("rows").alias("law"), "shard", F.col("slot").cast("long"),

@@ -101,3 +101,31 @@ def test_very_long_texts(docs):
     check(got, 4, 2)
     by = {r.doc_id: r for r in got}
     assert by[1].shard == by[2].shard and by[3].size == len(long) + 9
+
+
+def test_rows_are_neither_sent_to_all_tasks_nor_repeated(docs, monkeypatch):
+    """Tables of rows look small on disk; only the counts of bins may pass through the driver."""
+    import re
+
+    from codesieve.llm import common
+
+    plans = []
+
+    def seen(kept):
+        def run(df):
+            df.collect()
+            mode = df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+            plans.append(df._jdf.queryExecution().explainString(mode))
+            return kept(df)
+        return run
+
+    monkeypatch.setattr(sharding, "durable", seen(common.durable))
+    monkeypatch.setattr(sharding, "_written", seen(sharding._written))
+    rows = [(g * 10 + k, f"text {g}") for g in range(30) for k in range(1 + g % 4)] + [(5000 + k, "hot") for k in range(30)]
+    got = sharding.shard_documents(docs(*rows), shards=6, rounds=2)
+    seen(lambda df: df)(got)
+    check(got.collect(), len(rows), 6)
+    text = "\n".join(plans)
+    assert len(plans) > 6 and "SortMergeJoin" in text and "Generate" not in text
+    sent = re.findall(r"\(\d+\) BroadcastExchange\b[^\n]*\nInput[^\n]*", text)
+    assert sent and not [x for x in sent if re.search(r"\b(node|a|b|digest|leader)#", x)]
