@@ -62,25 +62,23 @@ def attach_excerpt(flaws: DataFrame, files: DataFrame, around: int = EXCERPT_LIN
 
     The flaw's path is tried as it is and without its first component, in this order.
     """
-    keyed = flaws.withColumns({
-        "_repo": F.coalesce("repo", F.lit("")), "_file": F.coalesce("file", F.lit("")),
-        "_line": F.coalesce("line", F.lit(0))})
+    key, file, line = ["_repo", "_path"], F.coalesce("file", F.lit("")), F.coalesce("line", F.lit(0))
+    path = F.ltrim(F.translate(file, "\\", "/"), F.lit("/"))
     # Flaws without a path have nothing to meet and stay where they are.
-    placed = keyed.where(F.col("_file") != "")
-    placeless = flaws.where(F.coalesce("file", F.lit("")) == "").withColumn("source_excerpt", F.lit("[no source path]"))
-    path = F.ltrim(F.translate("_file", "\\", "/"), F.lit("/"))
-    shorter = F.when(F.contains(path, F.lit("/")), F.regexp_replace(path, "^[^/]+/+", ""))
-    tried = placed.select("_repo", "_file").distinct().select(
-        F.col("_repo").alias("repository_id"), "_file", F.posexplode(F.array(path, shorter)).alias("_try", "file_path"))
-    best = files.select(*FILE).join(tried, FILE).groupBy("repository_id", "_file").agg(
-        F.min_by("file_path", "_try").alias("file_path"))
-    # A text moves to each path that flaws give it, and its flaws move there once; an excerpt, longer than a flaw and
-    # cut for each of its lines, never moves.
-    texts = files.select(*FILE, "content").dropDuplicates(FILE).join(best, FILE).select(
-        F.col("repository_id").alias("_repo"), "_file", "content")
-    split = join_wide(placed, texts, ["_repo", "_file"], "left").withColumn("_lines", raw_lines(F.col("content")))
-    counted = split.withColumn("_count", F.coalesce(line_count(F.col("content"), F.col("_lines")), F.lit(0)))
-    text = F.coalesce(excerpt_text(F.col("_lines"), F.col("_count"), F.col("_line"), around),
-                      F.concat(F.lit("[source file not found: "), "_file", F.lit("]")))
-    shown = counted.withColumn("source_excerpt", text).select(*flaws.columns, "source_excerpt")
-    return shown.unionByName(placeless)
+    placed = flaws.where(file != "").withColumns({"_repo": F.coalesce("repo", F.lit("")), "_path": path})
+    placeless = flaws.where(file == "").withColumn("source_excerpt", F.lit("[no source path]"))
+    # A text moves once at most, to its own path, however many spellings flaws have for it, and is split there; flaws go
+    # there, and once more if only the shorter path can exist.  An excerpt, cut for each flaw, never moves.
+    named = files.select(F.col("repository_id").alias("_repo"), F.col("file_path").alias("_path"), "content")
+    pieces = named.dropDuplicates(key).withColumn("_lines", raw_lines(F.col("content")))
+    texts = pieces.select(*key, "_lines", F.coalesce(line_count(F.col("content"), F.col("_lines")), F.lit(0)).alias(
+        "_count")).hint("merge")
+    found = placed.join(texts, key)
+    # A path that is not there stays the key of its flaws: it spreads them, and meets no text.
+    shorter = F.when(F.contains("_path", F.lit("/")), F.regexp_replace("_path", "^[^/]+/+", ""))
+    gone = placed.join(named.select(*key).distinct().hint("merge"), key, "left_anti").withColumn(
+        "_path", F.coalesce(shorter, "_path"))
+    text = F.coalesce(excerpt_text(F.col("_lines"), F.col("_count"), line, around),
+                      F.concat(F.lit("[source file not found: "), file, F.lit("]")))
+    shown = found.unionByName(gone.join(texts, key, "left")).withColumn("source_excerpt", text)
+    return shown.select(*flaws.columns, "source_excerpt").unionByName(placeless)

@@ -68,6 +68,30 @@ def test_excerpts_without_moving_texts(spark, files, stored, no_broadcast):
     assert moved(got) == []
 
 
+def test_excerpts_move_a_text_once(spark, no_broadcast):
+    """However many spellings of its path the flaws have; repeated files, and paths that are found nowhere, included."""
+    files = spark.createDataFrame([("r", f"src/f{i % 30}.py", "python", f"a {i % 30}\nhit\n") for i in range(33)],
+                                  "repository_id string, file_path string, language string, content string").repartition(3)
+    flaws = spark.createDataFrame(
+        [(i, "r", f"{spelling}src/f{i}.py", 2) for i in range(40) for spelling in ("", "/", "root/", "\\", "gone/away/")],
+        "i int, repo string, file string, line int")
+    got = attach_excerpt(flaws, files)
+    rows = got.collect()
+    assert len(rows) == 200
+    for r in rows:
+        there = r.i < 30 and "gone" not in r.file
+        assert r.source_excerpt == (f"    1     a {r.i}\n    2 >>> hit" if there else f"[source file not found: {r.file}]")
+    lines = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0].splitlines()
+    nodes = [re.sub(r"^[ :+-]*(\*\(\d+\) )?", "", line) for line in lines]
+    depths = [len(re.match(r"[ :+-]*", line)[0]) for line in lines]
+    text_moves = 0
+    for at, node in enumerate(nodes):
+        if node.startswith("Exchange hashpartitioning"):  # one that is used again stands as ReusedExchange
+            end = next((k for k in range(at + 1, len(nodes)) if depths[k] <= depths[at]), len(nodes))
+            text_moves += any("first(content#" in below for below in nodes[at + 1:end])
+    assert text_moves == 1
+
+
 def test_other_repositories_are_not_opened(spark, files, stored, no_broadcast):
     ids = spark.createDataFrame([("r4",), ("r5",), ("r5",), (None,), ("absent",)], "id string")
     chosen = stored.of(ids)
